@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import bpe, quality
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
+    "op4_byte_bpe": bpe.op4_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {}
