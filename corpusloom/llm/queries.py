@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, quality
+from . import bpe, neardup, quality
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
     "op4_byte_bpe": bpe.op4_byte_bpe,
+    "op7_minhash_near_dedup": neardup.op7_minhash_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
