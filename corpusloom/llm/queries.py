@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, neardup, quality
+from . import bpe, mixing, neardup, quality
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
+    "op3_mix_min_cost_flow": mixing.op3_mix_min_cost_flow,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op7_minhash_near_dedup": neardup.op7_minhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_mix_min_cost_flow": mixing.ORACLE,
+}
