@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, neardup, quality
+from . import bpe, linededup, mixing, neardup, quality
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
     "op3_mix_min_cost_flow": mixing.op3_mix_min_cost_flow,
     "op4_byte_bpe": bpe.op4_byte_bpe,
+    "op5_line_dedup": linededup.op5_line_dedup,
     "op7_minhash_near_dedup": neardup.op7_minhash_near_dedup,
 }
 

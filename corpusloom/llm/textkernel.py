@@ -23,7 +23,7 @@ DELIM = np.zeros(256, bool)
 DELIM[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
+_BYTE = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64)
 _BASE = U64(0x9E3779B97F4A7C15)
 _INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
@@ -117,13 +117,13 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hasher:
-    """64-bit hashes of any substrings of a block, from prefix sums of a polynomial."""
+    """64-bit hashes of any substrings of a block, from prefix sums of a polynomial; kind 1 is independent of kind 0."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, kind: int = 0):
         n = len(data)
         self.up, self.down = _tables(n)
         self.sum = np.zeros(n + 1, U64)
-        np.cumsum(_BYTE[data] * self.up[:n], out=self.sum[1:])
+        np.cumsum(_BYTE[kind][data] * self.up[:n], out=self.sum[1:])
 
     def __call__(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         return mix((self.sum[e] - self.sum[s]) * self.down[s] + (e - s).astype(U64))
