@@ -331,7 +331,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
         return pd.DataFrame({"model": [json.dumps(fit(pa.array(pdf["text"]), pdf["toxic"].to_numpy()))]})
 
-    found = rows.groupBy(F.lit(0)).applyInPandas(run, "model string").first()
+    found = rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(run, "model string").first()
     model = json.loads(found[0]) if found else fit(pa.array([], pa.string()), np.zeros(0))
     model["terms"] = [tuple(x) for x in model["terms"]]
     return model
