@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, mixing, neardup, quality, toxicity
+from . import bpe, langid, linededup, mixing, neardup, quality, toxicity
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
+    "op2_language_centroids": langid.op2_language_centroids,
     "op3_mix_min_cost_flow": mixing.op3_mix_min_cost_flow,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_line_dedup": linededup.op5_line_dedup,
@@ -14,5 +15,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_language_centroids": langid.op2_language_centroids,
     "op3_mix_min_cost_flow": mixing.ORACLE,
 }

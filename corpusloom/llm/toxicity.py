@@ -49,16 +49,9 @@ _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 QUOTES = '"“”„«»'
 
 
-def lowered(data: np.ndarray) -> np.ndarray:
-    """Lower case of ASCII and Latin-1 letters, byte for byte."""
-    out = K.lower_ascii(data)
-    after = np.concatenate([[0], data[:-1]]) == 0xC3
-    return np.where(after & (data >= 0x80) & (data <= 0x9E) & (data != 0x97), data + 32, out).astype(np.uint8)
-
-
 def tokens(b: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes; start, end and document of words without punctuation at their ends."""
-    data = lowered(b.data)
+    data = K.lowered(b.data)
     s, e, doc = K.words(b)
     s, e = s.copy(), e.copy()
     for _ in range(16):
