@@ -11,8 +11,9 @@ Scale.  Documents with equal shingle sets are one class before anything is paire
 found by a partially aggregated minimum.  First every class is compared with the least class of
 each of its buckets only (a star); the links found give components.  Then, in buckets that still
 hold several components, classes of different components are compared, in blocks of ``BLOCK``
-classes spread over tasks.  Pairs inside one component are never made, so a group of n near copies
-costs about n comparisons, and no link between components is lost.  Components come from
+classes spread over tasks; pairs live only inside a block, and only links leave it.  Pairs inside one
+component are never made, so a group of n near copies costs about n comparisons, and no link between
+components is lost.  Components come from
 alternating star contractions on the links.
 
 Defined results: null, empty or blank text has no shingles and stays alone; fewer than k words make
@@ -172,40 +173,45 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """The pairs (a, b) whose full sets agree enough, read anew from the texts of one document per class."""
-    both = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    wanted = cut(both.join(classes.select("cid", "k1", "k2", F.col("row").alias("doc_id")), "cid"))
-    chosen = docs.select("doc_id", "text")
-    ids = wanted.select("doc_id").distinct()
-    if wanted.count() <= IDS:
+def sets_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """(cid, grams): full sets of the wanted classes (cid), read anew from the texts of one document per class."""
+    named = cut(wanted.join(classes.select("cid", F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("row").alias("id")), "cid"))
+    chosen, ids = docs.select("doc_id", "text"), named.select("id").distinct()
+    if named.count() <= IDS:
         ids = F.broadcast(ids)
-    texts = chosen.join(ids, chosen["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    texts = chosen.join(ids, chosen["doc_id"].eqNullSafe(ids["id"]), "left_semi")
     sets = full_sets(texts, ["doc_id"], k).dropDuplicates(["doc_id", "k1", "k2"])
-    named = wanted.withColumnsRenamed({c: f"w_{c}" for c in ("doc_id", "k1", "k2")})
-    on = sets["doc_id"].eqNullSafe(named["w_doc_id"]) & (sets["k1"] == named["w_k1"]) & (sets["k2"] == named["w_k2"])
-    sets = cut(named.join(sets, on).select("cid", "grams"))
+    on = sets["doc_id"].eqNullSafe(named["id"]) & (sets["k1"] == named["w1"]) & (sets["k2"] == named["w2"])
+    out = cut(named.join(sets, on).select("cid", "grams"))
+    drop(named)
+    return out
+
+
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if 100 * min(len(x), len(y)) < SHARE * max(len(x), len(y)):
+        return False
+    z = np.concatenate([x, y])
+    z.sort(kind="stable")
+    common = int((z[1:] == z[:-1]).sum())
+    return 100 * common >= SHARE * (len(x) + len(y) - common)
+
+
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """The pairs (a, b) whose full sets agree enough."""
+    both = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
+    sets = sets_of(both, classes, docs, k)
     side = lambda x: sets.select(F.col("cid").alias(x), F.col("grams").alias(f"g{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "gb")
 
     def run(batches):
         for batch in batches:
-            ga, gb = batch.column(2), batch.column(3)
-            good = []
-            for x, y in zip(ga, gb, strict=True):
-                x, y = np.frombuffer(x.as_py(), K.U64), np.frombuffer(y.as_py(), K.U64)
-                if 100 * min(len(x), len(y)) < SHARE * max(len(x), len(y)):
-                    good.append(False)
-                    continue
-                z = np.concatenate([x, y])
-                z.sort(kind="stable")
-                common = int((z[1:] == z[:-1]).sum())
-                good.append(100 * common >= SHARE * (len(x) + len(y) - common))
+            good = [linked(np.frombuffer(x.as_py(), K.U64), np.frombuffer(y.as_py(), K.U64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
     out = cut(joined.mapInArrow(run, "a bigint, b bigint"))
-    drop(wanted, sets)
+    drop(sets)
     return out
 
 
@@ -235,63 +241,85 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         mark = now
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Likely pairs of different components among the members (key, n_block, block, cid, root, n_shingles, sig) of each bucket."""
-    def compare(x, y, same):
-        cid, root, n, sig = zip(x, y, strict=True)
-        out = []
-        for i in range(len(cid[0])):
-            j = np.arange(i + 1, len(cid[0])) if same else np.arange(len(cid[1]))
-            a, b = n[0][i], n[1][j]
-            j = j[(root[0][i] != root[1][j]) & (100 * np.minimum(a, b) >= SHARE * np.maximum(a, b))]
-            if len(j):
-                equal = (sig[1][j] == sig[0][i]).mean(1)
-                j = j[estimate(equal, np.full(len(j), a), n[1][j]) >= NEAR]
-                out.append(np.stack([np.full(len(j), cid[0][i]), cid[1][j]], 1))
-        return out
+def _deal(members: DataFrame) -> DataFrame:
+    """Blocks of each bucket: every class meets every other of its bucket under exactly one key.
 
-    def group(rows):
-        side, cid, root, n, sig = rows
-        data = (cid, root, n, np.ascontiguousarray(sig).view(np.uint16))
-        left, right = side == 0, side == 1
-        pick = lambda m: tuple(c[m] for c in data)
-        return compare(pick(left), pick(right), False) if right.any() else compare(data, data, True)
+    A bucket of more than BLOCK classes is cut by hash into parts; a key is a pair of parts, and side
+    tells which of the two a class comes from.
+    """
+    parts = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
+    return (
+        members.withColumn("parts", parts).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("key", F.xxhash64("band", "value", F.least("own", "other"), F.greatest("own", "other")))
+        .withColumn("side", F.when(F.col("own") > F.col("other"), 1).otherwise(0))
+        .select("key", "side", "band", "cid", "root", "n_shingles", "sig")
+    )
+
+
+def _in_blocks(dealt: DataFrame, grams: bool) -> DataFrame:
+    """What the blocks hold across components: without grams the classes (cid) of likely pairs, else the links (a, b).
+
+    A pair is looked at in the first band that it shares only.  With grams, links join components
+    within the block at once, so pairs that have become connected are passed over.
+    """
+    names = ["a", "b"] if grams else ["cid"]
+
+    def likely_rows(i, cid, root, n, sig, band, others):
+        a, b = n[i], n[others]
+        others = others[(root[others] != root[i]) & (cid[others] != cid[i]) & (100 * np.minimum(a, b) >= SHARE * np.maximum(a, b))]
+        if len(others):
+            fewer = sig[others][:, :band] == sig[i, :band]
+            others = others[~fewer.any(1)]
+        if len(others):
+            equal = (sig.view(np.uint16)[others] == sig.view(np.uint16)[i]).mean(1)
+            others = others[estimate(equal, np.full(len(others), a), n[others]) >= NEAR]
+        return others
+
+    def group(side, band, cid, root, n, sig, sets):
+        sig, band, root = np.ascontiguousarray(sig), int(band[0]), root.copy()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        out = set()
+        for x, i in enumerate(left):
+            for j in likely_rows(i, cid, root, n, sig, band, right if len(right) else left[x + 1 :]):
+                if sets is None:
+                    out |= {(int(cid[i]),), (int(cid[j]),)}
+                elif root[i] != root[j] and linked(sets[i], sets[j]):
+                    out.add((min(int(cid[i]), int(cid[j])), max(int(cid[i]), int(cid[j]))))
+                    root[root == root[j]] = root[i]
+        return out
 
     def run(batches):
         key, held = None, []
 
         def flush():
-            found = group(tuple(np.concatenate(x) for x in zip(*held, strict=True))) if held and sum(len(h[0]) for h in held) > 1 else []
-            pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs.min(1) if len(pairs) else pairs[:, 0]), pa.array(pairs.max(1) if len(pairs) else pairs[:, 0])], names=["a", "b"])
+            found = set()
+            if held and sum(len(h[0]) for h in held) > 1:
+                *cols, sets = zip(*held, strict=True)
+                found = group(*(np.concatenate(c) for c in cols), [x for s in sets for x in s] if grams else None)
+            pairs = np.array(sorted(found), np.int64).reshape(-1, len(names))
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, i]) for i in range(len(names))], names=names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = batch.column(0).to_numpy()
-            cols = (batch.column(1).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_numpy(), batch.column(4).to_numpy(), batch.column(5).flatten().to_numpy().reshape(-1, BANDS))
+            cols = [batch.column(c).to_numpy() for c in range(1, 6)]
+            cols.append(batch.column(6).flatten().to_numpy().reshape(-1, BANDS))
+            sets = [np.frombuffer(x.as_py(), K.U64) for x in batch.column(7)] if grams else [None] * len(keys)
             edge = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
             for s, e in zip(edge[:-1], edge[1:], strict=True):
                 if keys[s] != key:
-                    out = flush()
-                    if out.num_rows:
+                    if held and (out := flush()).num_rows:
                         yield out
                     key, held = keys[s], []
-                held.append(tuple(c[s:e] for c in cols))
-        out = flush()
-        if out.num_rows:
+                held.append((*(c[s:e] for c in cols), sets[s:e]))
+        if held and (out := flush()).num_rows:
             yield out
 
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    dealt = (
-        members.withColumn("blocks", blocks).withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("key", F.xxhash64("band", "value", F.least("own", "other"), F.greatest("own", "other")))
-        .withColumn("side", F.when(F.col("own") > F.col("other"), 1).otherwise(0))
-        .select("key", "side", "cid", "root", "n_shingles", "sig")
-    )
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").distinct()
+    shape = ", ".join(f"{c} bigint" for c in names)
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, shape).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -305,20 +333,22 @@ def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
     placed = classes.select("cid", F.posexplode("sig").alias("band", "value"))
     shared = placed.groupBy("band", "value").agg(F.min("cid").alias("lead"), F.max("cid").alias("last"), F.count("*").alias("members")).filter("lead <> last").drop("last")
     buckets = cut(placed.join(shared, ["band", "value"]))
-    star = cut(buckets.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct())
+    star = buckets.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")).distinct()
     near = cut(likely(star, classes))
     links = verify(near, classes, docs, k)
     roots = cut(components(links))
-    drop(near)
 
     placed = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     mixed = placed.groupBy("band", "value").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band", "value")
-    rest = placed.join(mixed, ["band", "value"]).join(classes.select("cid", "n_shingles", "sig"), "cid")
-    near = cut(_across(rest).join(star, ["a", "b"], "left_anti"))
-    more = verify(near, classes, docs, k)
-    if more.limit(1).count():
-        roots = cut(components(links.union(more)))
-    drop(near, star, buckets)
+    dealt = cut(_deal(placed.join(mixed, ["band", "value"]).join(classes.select("cid", "n_shingles", "sig"), "cid")))
+    wanted = cut(_in_blocks(dealt, False))
+    if wanted.limit(1).count():
+        sets = sets_of(wanted, classes, docs, k)
+        more = cut(_in_blocks(dealt.join(sets, "cid").select(*dealt.columns, "grams"), True))
+        if more.limit(1).count():
+            roots = cut(components(links.union(more)))
+        drop(sets)
+    drop(near, buckets, dealt, wanted)
 
     named = classes.select("n_shingles", "k1", "k2", "cid", F.col("row")).join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     lowest = named.groupBy("root").agg(F.min("row").alias("component_id"))
