@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, linededup, mixing, neardup, quality, toxicity
+from . import bpe, langid, linededup, lzfingerprint, mixing, neardup, quality, toxicity
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mix_min_cost_flow": mixing.op3_mix_min_cost_flow,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_line_dedup": linededup.op5_line_dedup,
+    "op6_lz_fingerprint": lzfingerprint.op6_lz_fingerprint,
     "op7_minhash_near_dedup": neardup.op7_minhash_near_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
