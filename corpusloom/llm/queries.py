@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, linededup, lzfingerprint, mixing, neardup, quality, tokencount, toxicity
+from . import bpe, langid, linededup, lzfingerprint, mixing, neardup, pii, quality, tokencount, toxicity
 
 QUERIES = {
     "op1_quality_mcd": quality.op1_quality_mcd,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_lz_fingerprint": lzfingerprint.op6_lz_fingerprint,
     "op7_minhash_near_dedup": neardup.op7_minhash_near_dedup,
     "op8_edit_token_counts": tokencount.op8_edit_token_counts,
+    "op9_information_sanitisation": pii.op9_information_sanitisation,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
