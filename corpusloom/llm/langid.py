@@ -19,11 +19,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import crc_mod, small_batches, table
+from .common import bounded_sample, crc_mod, small_batches, table
 
 DIM_BITS, GRAM, CLUSTERS, SAMPLE, SLACK = 12, 4, 4, 400, 1.15
 DIM = 1 << DIM_BITS
@@ -103,8 +103,7 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     df = df.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
     frequency = document_frequency(df)
     idf = np.log((1 + frequency[DIM]) / (1 + frequency[:DIM])) + 1
-    own = Window.partitionBy("lang").orderBy("h", "k")
-    chosen = df.select("k", "lang", F.xxhash64("k").alias("h")).withColumn("n", F.row_number().over(own)).filter(F.col("n") <= SAMPLE)
+    chosen = bounded_sample(df.select("k", "lang"), "lang", "k", SAMPLE)
     chosen = chosen.select(F.col("k").alias("k_"), F.col("lang").alias("lang_"))
     rows = df.join(chosen, df["k"].eqNullSafe(chosen["k_"]) & (df["lang"] == chosen["lang_"]), "left_semi")
 

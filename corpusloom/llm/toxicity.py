@@ -27,11 +27,11 @@ from collections import defaultdict
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import crc_mod, small_batches, table
+from .common import bounded_sample, crc_mod, small_batches, table
 
 SAMPLE, TERMS, THRESHOLD = 3000, 96, 0.7
 STEMS = range(3, 11)
@@ -315,9 +315,8 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> dict:
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """Fit on up to sample labelled documents of each class; docs and labels have doc_id, and text and toxic."""
-    own = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    chosen = chosen.withColumn("n", F.row_number().over(own)).filter(F.col("n") <= sample).drop("n")
+    chosen = bounded_sample(chosen, "toxic", "doc_id", sample)
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")  # 2 * sample rows at most
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
