@@ -28,18 +28,37 @@ def tokenize(text: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def ngrams(tokens: Column, low: int = 2, high: int = 4, stop: list[str] | None = None) -> Column:
-    """All n-grams that neither begin nor end with a stop word and hold something besides stop words and numbers."""
-    words = F.array(*map(F.lit, stop if stop is not None else fixed.PHRASE_STOP))
-    weak = F.transform(tokens, lambda w: F.array_contains(words, w))
-    idle = F.transform(tokens, lambda w: F.array_contains(words, w) | w.rlike("^[0-9]+$"))
+def _let(value: Column, body) -> Column:
+    """body(value) with value computed once; a lambda would compute what it names again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    def of(n: int) -> Column:
-        at = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        good = F.filter(at, lambda i: ~F.get(weak, i - 1) & ~F.get(weak, i + (n - 2)) & ~F.forall(F.slice(idle, i, n), lambda x: x))
-        return F.transform(good, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+def ngrams(tokens: Column, low: int = 2, high: int = 4, stop: list[str] | None = None) -> Column:
+    """All n-grams that neither begin nor end with a stop word and hold something besides stop words and numbers.
 
-    return F.concat(*[of(n) for n in range(low, high + 1)])
+    Longer grams are shorter ones zipped with the tokens that follow, so the work is linear in the text.
+    """
+    words = stop if stop is not None else fixed.PHRASE_STOP
+    marked = F.transform(tokens, lambda w: F.struct(w.alias("g"), (w.isin(*words) if words else F.lit(False)).alias("a"), (w.isin(*words) if words else F.lit(False)).alias("z"), ((w.isin(*words) if words else F.lit(False)) | w.rlike("^[0-9]+$")).alias("idle")))
+
+    def longer(grams: Column, n: int) -> Column:
+        """Grams of n tokens from those of n - 1."""
+        k = F.greatest(F.size(marks) - (n - 1), F.lit(0))
+        join = lambda x, y: F.struct(F.concat(x["g"], F.lit(" "), y["g"]).alias("g"), x["a"].alias("a"), y["z"].alias("z"), (x["idle"] & y["idle"]).alias("idle"))
+        return F.zip_with(F.slice(grams, F.lit(1), k), F.slice(marks, F.lit(n), k), join)
+
+    def chain(grams: Column, n: int) -> Column:
+        good = F.transform(F.filter(grams, lambda x: ~x["a"] & ~x["z"] & ~x["idle"]), lambda x: x["g"])
+        good = good if n >= low else F.array().cast("array<string>")
+        return good if n == high else F.concat(good, _let(longer(grams, n + 1), lambda g: chain(g, n + 1)))
+
+    def start(m: Column) -> Column:
+        nonlocal marks
+        marks = m
+        return chain(m, 1)
+
+    marks = marked
+    return _let(marked, start)
 
 
 def one_token_edit(a: Column, b: Column) -> Column:

@@ -27,17 +27,20 @@ def mine(uses: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> D
 def prune_contained(phrases: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """Drop a phrase that a strictly longer one with as many members contains.
 
-    Containment is of characters, so the longer phrase's substrings at word starts are not enough; a phrase's
-    words are its tokens, though, and whatever holds it holds its first token as part of one.  The candidates
-    are therefore joined on a run of inner characters: every substring as long as the shortest phrase of the
-    group would do, but phrases are short, so all their substrings of phrase length are listed instead and
-    joined by equality; no nested loop over pairs of phrases.
+    Containment is of characters: the first two tokens of what is contained are then the end of one token
+    and the beginning of the next one of what contains it.  Up to three characters on either side of a space
+    are the key of an equi-join, of which a phrase of four tokens has 27 at most; no pairs are listed.
     """
-    long = phrases.alias("l").withColumn("n", F.length("phrase"))
-    spans = F.flatten(F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.transform(F.sequence(F.lit(3), F.greatest(F.lit(3), F.col("n") - i + 1)), lambda k: F.when((i + k - 1 <= F.col("n")) & (k < F.col("n")), F.substring(F.col("phrase"), i, k)))))
-    inner = long.select(*keys, F.col("members").alias("_m"), F.explode(F.array_distinct(F.filter(spans, lambda s: s.isNotNull() & s.contains(" ")))).alias("phrase"))
-    best = inner.groupBy(*keys, "phrase").agg(F.max("_m").alias("_m"))
-    return phrases.join(best, [*keys, "phrase"], "left").filter(F.col("_m").isNull() | (F.col("_m") < F.col("members"))).drop("_m")
+    t = F.split("phrase", " ")
+    side = F.array(F.lit(1), F.lit(2), F.lit(3))
+    last, first = lambda w, k: F.right(w, k), lambda w, k: F.left(w, k)
+    own = F.concat(F.right(F.get(t, F.lit(0)), F.least(F.lit(3), F.length(F.get(t, F.lit(0))))), F.lit(" "), F.left(F.get(t, F.lit(1)), F.least(F.lit(3), F.length(F.get(t, F.lit(1))))))
+    at = F.sequence(F.lit(0), F.size(t) - 2)
+    around = F.flatten(F.transform(at, lambda i: F.flatten(F.transform(side, lambda k: F.transform(side, lambda m: F.concat(last(F.get(t, i), k), F.lit(" "), first(F.get(t, i + 1), m)))))))
+    long = phrases.filter(F.size(t) >= 2).select(*keys, F.col("phrase").alias("_long"), F.col("members").alias("_m"), F.explode(F.array_distinct(around)).alias("_key"))
+    short = phrases.filter(F.size(t) >= 2).withColumn("_key", own)
+    held = short.join(long, [*keys, "_key"]).filter((F.length("_long") > F.length("phrase")) & (F.col("_m") >= F.col("members")) & F.col("_long").contains(F.col("phrase")))
+    return phrases.join(held.select(*keys, "phrase").distinct(), [*keys, "phrase"], "left_anti")
 
 
 def member_first(uses: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
@@ -83,6 +86,5 @@ def family_rows(uses: DataFrame, family: DataFrame, least: int = 3) -> DataFrame
 
 def with_phrases(posts: DataFrame, phrases: DataFrame, low: int = 2, high: int = 4) -> DataFrame:
     """Posts that hold a phrase as a run of tokens, by equality of n-grams."""
-    runs = lambda n: F.when(F.size("tokens") >= n, F.transform(F.sequence(F.lit(1), F.size("tokens") - (n - 1)), lambda i: F.array_join(F.slice(F.col("tokens"), i, n), " "))).otherwise(F.array().cast("array<string>"))
-    every = F.array_distinct(F.concat(*[runs(n) for n in range(low, high + 1)]))
+    every = F.array_distinct(X.ngrams(F.col("tokens"), low, high, []))
     return posts.withColumn("tokens", X.tokenize(F.col("text"))).withColumn("phrase", F.explode(every)).drop("tokens").join(phrases.select("phrase"), "phrase")

@@ -57,8 +57,9 @@ def nearest(vectors: DataFrame, targets: DataFrame, vector_id: str, vector: str,
             sim = x @ matrix.T
             order = np.argsort(-sim, axis=1, kind="stable")[:, :k]
             best = np.take_along_axis(sim, order, 1)
+            best = np.floor(best * 1e4 + 0.5) / 1e4
             i, j = np.nonzero(best >= least)
-            yield pd.DataFrame({vector_id: pdf[vector_id].to_numpy()[i], target_id: [ids[t] for t in order[i, j]], "sim": np.floor(best[i, j] * 1e4 + 0.5) / 1e4})
+            yield pd.DataFrame({vector_id: pdf[vector_id].to_numpy()[i], target_id: [ids[t] for t in order[i, j]], "sim": best[i, j]})
 
     unit = vectors.filter(F.col(vector).isNotNull()).select(vector_id, M.normalise(F.col(vector)).alias(vector))
     return ranked(unit.mapInPandas(run, shape), vector_id, [F.desc("sim"), F.asc(target_id)], k)

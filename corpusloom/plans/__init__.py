@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import social
+    from . import social, texts
 
-    return [social]
+    return [social, texts]
 
 
 def queries() -> dict:
