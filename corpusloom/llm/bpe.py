@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import textkernel as K
 from .common import small_batches, table
 
-REMEMBER, SHORT = 400_000, 64
+REMEMBER, SHORT = 350_000, 64
 BITS = 8
 
 
@@ -166,6 +166,11 @@ class Tokenizer:
 _made: dict[tuple[str, str], Tokenizer] = {}
 
 
+def release() -> None:
+    """Drop this worker's caches (a function of the module, so that tasks mean the worker's own and no pickled copy)."""
+    _made.clear()
+
+
 def tokenizer(path: str, pattern: str) -> Tokenizer:
     """One per worker and vocabulary."""
     if (path, pattern) not in _made:
@@ -183,6 +188,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), f"`{ids}` array<int>", *([f"`{decoded}` binary"] if decoded else [])])
 
     def run(batches):
+        K.own("bpe", release)
         t = tokenizer(path, pattern)
         for batch in batches:
             at = 0
@@ -208,6 +214,7 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     which = keep.index(ids)
 
     def run(batches):
+        K.own("bpe", release)
         t = tokenizer(path, pattern)
         for batch in batches:
             made = [t.decode(x or []) for x in batch.column(which).to_pylist()]

@@ -63,6 +63,7 @@ def vectors(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def document_frequency(df: DataFrame, text: str = "text") -> np.ndarray:
     """How many documents of df hold each n-gram; the last number counts the documents."""
     def run(batches):
+        K.own("langid")
         total = np.zeros(DIM + 1, np.int64)
         for batch in batches:
             for b in K.blocks(batch.column(0)):
@@ -132,6 +133,7 @@ def predict(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     names = np.array([*model["lang"], "und"], object)
 
     def run(batches):
+        K.own("langid")
         for batch in batches:
             lettered = batch.column(batch.num_columns - 2).fill_null(False).to_numpy(zero_copy_only=False)
             best, cosine = [np.zeros(0, int)], [np.zeros(0)]

@@ -43,6 +43,7 @@ def line_table(df: DataFrame, text: str = "text") -> DataFrame:
     small_batches(df.sparkSession)
 
     def run(batches):
+        K.own("linededup")
         for batch in batches:
             ids, docs = batch.column(0), batch.column(1)
             for b in K.blocks(batch.column(2)):
@@ -122,6 +123,7 @@ def _shortest_runs(ranks: DataFrame, min_words: int) -> DataFrame:
         return np.unique(np.stack([s[both], size[both], a[both], b[both]], 1), axis=0)
 
     def run(batches):
+        K.own("linededup")
         held = None
 
         def made(t):
@@ -178,6 +180,7 @@ def delete_lines(df: DataFrame, gone: DataFrame, text: str = "text") -> DataFram
     small_batches(df.sparkSession)
 
     def run(batches):
+        K.own("linededup")
         for batch in batches:
             texts = batch.column(batch.num_columns - 2)
             counts, dropped, merged, out = [], [], [], []

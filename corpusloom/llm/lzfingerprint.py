@@ -100,6 +100,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
     which = keep.index(text)
 
     def run(batches):
+        K.own("lz")
         for batch in batches:
             made = [fingerprint_text(x or "") for x in batch.column(which).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.string())], names=[*keep, out])
@@ -157,6 +158,7 @@ def edited_pairs(df: DataFrame) -> DataFrame:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches):
+        K.own("lz")
         held = None  # a row that waits for its next: id, part, copy, text
         waiting = None  # its results, without near_next
         for batch in batches:

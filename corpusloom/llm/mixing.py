@@ -43,6 +43,7 @@ def sizes(df: DataFrame, keep: list[str], text: str = "text", size: str = "size"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), f"`{size}` bigint"])
 
     def run(batches):
+        K.own("mixing")
         for batch in batches:
             n = [K.per_doc(K.words(b)[2], len(b.off) - 1) for b in K.blocks(batch.column(batch.num_columns - 1))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(n) if n else np.zeros(0, np.int64))], names=[*keep, size])

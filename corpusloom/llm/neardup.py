@@ -118,6 +118,7 @@ def signatures(df: DataFrame, keep: list[str], k: int = WORDS, text: str = "text
     small_batches(df.sparkSession)
 
     def run(batches):
+        K.own("neardup")
         for batch in batches:
             parts = []
             for b in K.blocks(batch.column(batch.num_columns - 1)):
@@ -144,6 +145,7 @@ def full_sets(df: DataFrame, keep: list[str], k: int = WORDS, text: str = "text"
     """keep, the checksums and the sorted shingle set itself, as bytes."""
 
     def run(batches):
+        K.own("neardup")
         for batch in batches:
             sets, one, two = [], [], []
             for b in K.blocks(batch.column(batch.num_columns - 1)):
@@ -164,6 +166,7 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     joined = joined.filter(100 * F.least("na", "nb") >= SHARE * F.greatest("na", "nb"))
 
     def run(batches):
+        K.own("neardup")
         for batch in batches:
             x = [np.frombuffer(np.ascontiguousarray(batch.column(i).flatten().to_numpy(zero_copy_only=False)), np.uint16).reshape(-1, M) for i in (4, 5)]
             n, m = (batch.column(i).to_numpy() for i in (2, 3))
@@ -205,6 +208,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int = WORDS
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ga", "gb")
 
     def run(batches):
+        K.own("neardup")
         for batch in batches:
             good = [linked(np.frombuffer(x.as_py(), K.U64), np.frombuffer(y.as_py(), K.U64)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             keep = pa.array(good, pa.bool_())
@@ -291,6 +295,7 @@ def _in_blocks(dealt: DataFrame, grams: bool) -> DataFrame:
         return out
 
     def run(batches):
+        K.own("neardup")
         key, held = None, []
 
         def flush():

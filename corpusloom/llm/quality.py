@@ -107,6 +107,7 @@ def statistics(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in types), *(f"{c} {t}" for c, t in add)])
 
     def run(batches):
+        K.own("quality")
         for batch in batches:
             found = [block_statistics(b) for b in K.blocks(batch.column(batch.num_columns - 1))]
             t = np.concatenate(found) if found else np.zeros((0, 8), np.int64)

@@ -23,11 +23,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import textkernel as K
 from .bpe import load_ranks, public_vocabulary
 from .common import small_batches, table
 
 LEAF, BEFORE, GROWN = 16, 4, 8
-REMEMBER = 400_000
+REMEMBER = 350_000
 
 
 class Counter:
@@ -150,6 +151,11 @@ class TokenTree:
 _made: dict[tuple[str, str], Counter] = {}
 
 
+def release() -> None:
+    """Drop this worker's caches (a function of the module, so that tasks mean the worker's own and no pickled copy)."""
+    _made.clear()
+
+
 def counter(path: str, pattern: str) -> Counter:
     if (path, pattern) not in _made:
         _made[path, pattern] = Counter(path, pattern)
@@ -171,6 +177,7 @@ def trees(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFra
     which = keep.index(text)
 
     def run(batches):
+        K.own("tokencount", release)
         own = counter(path, pattern)
         for batch in batches:
             made = [TokenTree(own, x or "") for x in batch.column(which).to_pylist()]
@@ -186,6 +193,7 @@ def apply_edits(kept: DataFrame, path: str, pattern: str, text: str = "text", ed
     keep = [c for c in kept.columns if c not in {*new, edits}]
 
     def run(batches):
+        K.own("tokencount", release)
         own = counter(path, pattern)
         for batch in batches:
             out = []
@@ -208,6 +216,7 @@ def count_edits(df: DataFrame, path: str, pattern: str, text: str = "text", edit
     keep = [c for c in df.columns if c not in {text, edits, *new}]
 
     def run(batches):
+        K.own("tokencount", release)
         own = counter(path, pattern)
         for batch in batches:
             out = []

@@ -336,6 +336,7 @@ def score(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), "score double, hits bigint, terms string"])
 
     def run(batches):
+        K.own("toxicity")
         matcher = Matcher(model["terms"], set(model["known"]))
         coef = np.array(model["coef"])
         for batch in batches:
