@@ -69,7 +69,7 @@ def parse_date(text: Column) -> Column:
 
 def clock_valid(text: Column) -> Column:
     """A time that names its zone."""
-    return text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$") & F.try_to_timestamp(text).isNotNull()
+    return text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$") & F.try_to_timestamp(F.regexp_replace(text, r"(T\d{2}:\d{2})(Z|[+-])", "$1:00$2")).isNotNull()
 
 
 def date_valid(text: Column) -> Column:

@@ -69,9 +69,9 @@ def sha_sample(df: DataFrame, key: str, salt: str, sizes: Column, groups: list[s
 
 def weights(sample: DataFrame, frame: DataFrame, stratum: str = "stratum") -> DataFrame:
     """Rows of a sample with the weight of their stratum, size of the frame over size of the sample."""
-    big = frame.groupBy(stratum).agg(F.count("*").alias("_N"))
-    small = sample.groupBy(stratum).agg(F.count("*").alias("_n"))
-    return sample.join(big.join(small, stratum).select(stratum, (F.col("_N") / F.col("_n")).alias("weight")), stratum)
+    big = frame.groupBy(stratum).agg(F.count("*").alias("_frame"))
+    small = sample.groupBy(stratum).agg(F.count("*").alias("_sample"))
+    return sample.join(big.join(small, stratum).select(stratum, (F.col("_frame") / F.col("_sample")).alias("weight")), stratum)
 
 
 def verdict_errors(verdicts: DataFrame, expected: DataFrame) -> DataFrame:
