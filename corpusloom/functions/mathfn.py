@@ -14,7 +14,7 @@ def half_up(x: Column) -> Column:
 
 
 def places(x: Column, n: int) -> Column:
-    """x to n decimal places, halves towards positive infinity."""
+    """F64: x to n decimal places, halves towards positive infinity."""
     return F.floor(x * F.lit(float(10**n)) + F.lit(0.5)).cast("double") / F.lit(float(10**n))
 
 
@@ -36,7 +36,7 @@ def _half(x: Column) -> Column:
 
 
 def momentum(groups: Column, trend: Column, change: Column, people: Column, people_mean: Column, engagement: Column, per_post: Column) -> Column:
-    """Struct of score (0 to 100), five components and the two that drive it most.
+    """Struct of score (0 to 100), five components and the two that drive it most.
 
     groups: posts of the day per group; trend: seven days, the oldest first; change: of the day against
     the six before, in percent; per_post: mean engagement of a post in the week.
@@ -60,7 +60,7 @@ def momentum(groups: Column, trend: Column, change: Column, people: Column, peop
 
 
 def read_cost(posts: Column, users: Column) -> Column:
-    """Dollars for posts and users read."""
+    """Dollars for posts and users read."""
     return posts * F.lit(0.005) + users * F.lit(0.01)
 
 
@@ -71,12 +71,12 @@ def token_cost(fresh: Column, made: Column, read: Column, written: Column, batch
 
 
 def cost_bound(prompt: Column, most_out: Column, price_in: float = 5.0, price_out: float = 25.0) -> Column:
-    """Upper bound of a call's cost before it is made: a byte is a token at most."""
+    """Upper bound of a call's cost before it is made: a byte is a token at most."""
     return (F.octet_length(prompt) * F.lit(price_in) + most_out * F.lit(price_out)) / F.lit(1e6)
 
 
 def page_size(remaining: Column, wanted: Column, low: int = 5, high: int = 100) -> Column:
-    """Rows to ask for: what is wanted, within the bounds and what the budget leaves; 0 if that is below the least."""
+    """Rows to ask for: what is wanted, within the bounds and what the budget leaves; 0 if that is below the least."""
     size = F.least(F.greatest(wanted, F.lit(low)), F.lit(high))
     return F.when(remaining < low, 0).otherwise(F.least(size, remaining)).cast("int")
 
@@ -93,16 +93,18 @@ def norm(v: Column) -> Column:
 
 
 def normalise(v: Column) -> Column:
+    """F61."""
     n = norm(v)
     return F.when(n > 0, F.transform(v, lambda x: x.cast("double") / n)).otherwise(F.transform(v, lambda x: x.cast("double")))
 
 
 def cosine(a: Column, b: Column) -> Column:
+    """F62."""
     return F.coalesce(dot(a, b) / F.nullif(norm(a) * norm(b), F.lit(0.0)), F.lit(0.0))
 
 
 def quantise(v: Column) -> Column:
-    """Struct of scale and values in -127 to 127."""
+    """Struct of scale and values in -127 to 127."""
     top = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
     scale = F.when(top > 0, top / 127).otherwise(F.lit(1.0))
     return F.struct(scale.alias("scale"), F.transform(v, lambda x: F.greatest(F.lit(-127), F.least(F.lit(127), half_up(x.cast("double") / scale))).cast("tinyint")).alias("q"))
