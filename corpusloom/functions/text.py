@@ -205,7 +205,9 @@ def link_handles(text: Column, base: str = "https://x.com/") -> Column:
 
 def short_number(n: Column) -> Column:
     """F32: 1.23M, 12.3K, or the number itself."""
-    return F.when(n >= 1_000_000, F.concat(F.regexp_replace(F.format_string("%.2f", n / 1e6), r"\.?0+$", ""), F.lit("M"))).when(n >= 10_000, F.concat(F.regexp_replace(F.format_string("%.1f", n / 1e3), r"\.0$", ""), F.lit("K"))).otherwise(n.cast("bigint").cast("string"))
+    at = lambda unit, k: F.floor(n / unit * 10**k + 0.5) / 10**k
+    short = lambda unit, k, name: F.concat(F.regexp_replace(F.format_string(f"%.{k}f", at(unit, k)), r"\.?0+$", ""), F.lit(name))
+    return F.when(n >= 1_000_000, short(1e6, 2, "M")).when(n >= 10_000, short(1e3, 1, "K")).otherwise(n.cast("bigint").cast("string"))
 
 
 def arrow(n: Column) -> Column:

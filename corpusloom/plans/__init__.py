@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import social, texts
+    from . import social, texts, upkeep
 
-    return [social, texts]
+    return [social, texts, upkeep]
 
 
 def queries() -> dict:
