@@ -39,7 +39,9 @@ def ngrams(tokens: Column, low: int = 2, high: int = 4, stop: list[str] | None =
     Longer grams are shorter ones zipped with the tokens that follow, so the work is linear in the text.
     """
     words = stop if stop is not None else fixed.PHRASE_STOP
-    marked = F.transform(tokens, lambda w: F.struct(w.alias("g"), (w.isin(*words) if words else F.lit(False)).alias("a"), (w.isin(*words) if words else F.lit(False)).alias("z"), ((w.isin(*words) if words else F.lit(False)) | w.rlike("^[0-9]+$")).alias("idle")))
+    weak = lambda w: w.isin(*words) if words else F.lit(False)
+    flagged = F.transform(tokens, lambda w: F.struct(w.alias("g"), weak(w).alias("a")))
+    marked = F.transform(flagged, lambda x: F.struct(x["g"].alias("g"), x["a"].alias("a"), x["a"].alias("z"), (x["a"] | x["g"].rlike("^[0-9]+$")).alias("idle")))
 
     def longer(grams: Column, n: int) -> Column:
         """Grams of n tokens from those of n - 1."""

@@ -65,21 +65,49 @@ def nearest(vectors: DataFrame, targets: DataFrame, vector_id: str, vector: str,
     return ranked(unit.mapInPandas(run, shape), vector_id, [F.desc("sim"), F.asc(target_id)], k)
 
 
-def neighbours(vectors: DataFrame, stories: DataFrame, members: DataFrame, k: int, least: float = 0.0) -> DataFrame:
-    """Per story the k nearest vectors that aren't its members: (story, vec_id, sim, rank).
+def neighbours(vectors: DataFrame, stories: DataFrame, members: DataFrame | None, k: int, least: float = 0.0, story_limit: int = STORIES_PER_TASK) -> DataFrame:
+    """Per story the k nearest vectors that aren't its members: (story, vec_id, sim, rank); without members, of all.
 
-    Every vector is scored against the stories in one pass (see nearest); members leave by an anti-join
-    before the ranking, whose filter prunes each task's rows to k per story before they are shuffled.
+    Stories are counted; up to story_limit they go to every task as one matrix, more are dealt out in parts.
+    Each Arrow batch is one product and passes on its best k per story only, so pairs are never listed.
     """
-    every = _scores(vectors, stories, least)
-    outside = every.join(members.select("story", "vec_id"), ["story", "vec_id"], "left_anti")
-    return ranked(outside, "story", [F.desc("sim"), F.asc("vec_id")], k)
-
+    n = stories.count()
+    parts = max(1, -(-n // story_limit))
+    if parts > 1:
+        dealt = stories.withColumn("_part", F.pmod(F.xxhash64("story"), F.lit(parts)))
+        found = [neighbours(vectors, dealt.filter(F.col("_part") == p).drop("_part"), members, k, least, 10**9) for p in range(parts)]
+        out = found[0]
+        for f in found[1:]:
+            out = out.unionByName(f)
+        return out
+    rows = stories.select("story", "centroid").orderBy("story").collect()  # story_limit rows at most
+    ids, matrix = [r[0] for r in rows], np.array([r[1] for r in rows], float)
+    place = {s: i for i, s in enumerate(ids)}
+    unit = vectors.filter(F.col("embedding").isNotNull()).select("vec_id", M.normalise(F.col("embedding")).alias("v"))
+    if members is not None:
+        own = members.groupBy("vec_id").agg(F.collect_set("story").alias("own"))  # a vector is in few stories
+        unit = unit.join(own, "vec_id", "left")
+    kinds = stories.schema["story"].dataType.simpleString(), vectors.schema["vec_id"].dataType.simpleString()
 
-def _scores(vectors: DataFrame, stories: DataFrame, least: float) -> DataFrame:
-    unit = vectors.select("vec_id", M.normalise(F.col("embedding")).alias("v"))
-    pairs = unit.crossJoin(F.broadcast(stories.select("story", "centroid"))) if stories.limit(STORIES_PER_TASK + 1).count() <= STORIES_PER_TASK else unit.crossJoin(stories.select("story", "centroid"))
-    return pairs.select("story", "vec_id", M.places(M.dot(F.col("v"), F.col("centroid")), 4).alias("sim")).filter(F.col("sim") >= least)
+    def run(batches):
+        for pdf in batches:
+            if not len(pdf) or not ids:
+                continue
+            sim = np.floor(np.stack(pdf["v"].to_numpy()) @ matrix.T * 1e4 + 0.5) / 1e4
+            if "own" in pdf:
+                for i, mine in enumerate(pdf["own"]):
+                    for s in mine if mine is not None else ():
+                        if s in place:
+                            sim[i, place[s]] = -np.inf
+            vec = pdf["vec_id"].to_numpy()
+            out = []
+            for j, s in enumerate(ids):
+                best = np.lexsort((vec, -sim[:, j]))[:k]
+                best = best[sim[best, j] >= least]
+                out.append(pd.DataFrame({"story": [s] * len(best), "vec_id": vec[best], "sim": sim[best, j]}))
+            yield pd.concat(out)
+
+    return ranked(unit.mapInPandas(run, f"story {kinds[0]}, vec_id {kinds[1]}, sim double"), "story", [F.desc("sim"), F.asc("vec_id")], k)
 
 
 def precision_at(ranked_rows: DataFrame, keys: list[str], relevant: Column, ks: tuple[int, ...] = (10, 20, 40)) -> DataFrame:

@@ -8,7 +8,7 @@ from ..functions import fixed
 from ..functions import mathfn as M
 from ..functions import text as X
 from ..functions import timefn as T
-from ..operators import evaluation, evidence, incidents, phrases, stories, vectors, windows
+from ..operators import evaluation, evidence, incidents, phrases, stories, vectors
 from ..sources import readers
 from ..sources.readers import table
 from ..streaming import stream
@@ -141,8 +141,7 @@ SELECT story, floor(avg(CASE WHEN rank <= 10 THEN CAST(label = story AS INT) END
 def precision_at_k(spark, d):
     """How many of the vectors nearest to a story are its own."""
     e, c = _stories(spark, d)
-    scored = vectors._scores(e, c, -1.0).join(e.select("vec_id", "label"), "vec_id")
-    top = windows.ranked(scored, "story", [F.desc("sim"), F.asc("vec_id")], 40)
+    top = vectors.neighbours(e, c, None, 40, -1.0).join(e.select("vec_id", "label"), "vec_id")
     return vectors.precision_at(top, ["story"], F.col("label") == F.col("story"))
 
 
