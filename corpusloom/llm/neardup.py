@@ -372,3 +372,25 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     gone = near_duplicates(docs).filter("not kept").select("doc_id", "component_id").distinct()
     gone = gone.select(F.col("doc_id").alias("_gone"))
     return join_small(docs.withColumn("_gone", F.col("doc_id")), cut(gone.distinct()), ["_gone"], "left_anti", IDS).drop("_gone")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+  UNION SELECT doc_id, len(w) || ': ' || array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 4
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION SELECT b, a FROM l
+), r(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT e.a, r.root FROM r JOIN e ON e.b = r.doc_id WHERE r.root < e.a
+)
+SELECT r.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(root) AS component_id, r.doc_id = min(root) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
