@@ -41,7 +41,7 @@ VALID = {
     "phone": "length(digits(x.v)) between 9 and 15",
 }
 TERM = r"[\p{L}\p{N}]+"
-CONTEXT, SUPPORT, DISCLOSED, REMOVED, SHORTEST = 120, 3, 0.85, 0.98, 4
+CONTEXT, SUPPORT, DISCLOSED, REMOVED, SHORTEST = 120, 3, 0.95, 0.98, 4
 CHUNK = 256
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
