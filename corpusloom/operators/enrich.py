@@ -24,7 +24,7 @@ def house_only(posts: DataFrame, status: str = "status") -> tuple[DataFrame, Dat
 
 
 def with_metrics(posts: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Engagement refreshed later if present and available, else as captured; a retweet has none.
+    """Engagement refreshed later if present and available, else as captured; a retweet has none.
 
     metrics: post_id, refreshed, unavailable.
     """
@@ -62,7 +62,7 @@ def inherit_topics(posts: DataFrame, assignment: DataFrame, days: int = 2) -> Da
 
 
 def resolve_context(posts: DataFrame, store: DataFrame, archive: DataFrame) -> DataFrame:
-    """Text of the referenced post: embedded, else from the side store, else from the archive."""
+    """Text of the referenced post: embedded, else from the side store, else from the archive."""
     a = store.select(F.col("post_id").alias("ref_id"), F.col("text").alias("_store"))
     b = archive.select(F.col("post_id").alias("ref_id"), F.col("text").alias("_archive"))
     joined = posts.join(a, "ref_id", "left").join(b, "ref_id", "left")
@@ -85,7 +85,7 @@ def only_match(left: DataFrame, right: DataFrame, on: list[str], value: str) ->
 
 
 def live_over_nightly(live: DataFrame, nightly: DataFrame) -> DataFrame:
-    """One interpretation per post from two sources.
+    """One interpretation per post from two sources.
 
     Both: post_id, topics, completed, corrected, pending, context_version.  The nightly one is passed over
     if it is pending and not corrected; the live one wins against an uncorrected nightly one if it is
@@ -104,7 +104,7 @@ def live_over_nightly(live: DataFrame, nightly: DataFrame) -> DataFrame:
 
 
 def apply_corrections(assignment: DataFrame, posts: DataFrame, corrections: DataFrame, days: int = 2) -> DataFrame:
-    """Topics after human corrections, which also reach retweets of the same day and so many after.
+    """Topics after human corrections, which also reach retweets of the same day and so many after.
 
     corrections: post_id, filed, correction_id, topics; the latest filing wins.  Result: post_id, topics, via.
     """
@@ -119,7 +119,7 @@ def apply_corrections(assignment: DataFrame, posts: DataFrame, corrections: Data
 
 
 def overlay_roster(listed: DataFrame, roster: DataFrame) -> DataFrame:
-    """List members with the roster's tags by handle; roster accounts that left the list are stale."""
+    """List members with the roster's tags by handle; roster accounts that left the list are stale."""
     a = listed.withColumn("_k", F.lower("handle")).alias("a")
     b = roster.withColumn("_k", F.lower("handle")).alias("b")
     on_list, known = F.col("a._k").isNotNull(), F.col("b._k").isNotNull()

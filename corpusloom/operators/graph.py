@@ -47,7 +47,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def follow(pointers: DataFrame, source: str, target: str, hops: int = 8) -> DataFrame:
-    """Where each pointer ends after at most so many hops; doubled each round, so three joins make eight hops."""
+    """Where each pointer ends after at most so many hops; doubled each round, so three joins make eight hops."""
     out = pointers.select(source, target)
     done = 1
     while done < hops:

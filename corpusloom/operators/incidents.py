@@ -52,7 +52,7 @@ def _any(patterns: list[str]) -> str:
 
 
 def cue_reason(text: Column) -> Column:
-    """Struct of reason and cue for a text that shouldn't open an incident, or null; live cues keep any text."""
+    """Struct of reason and cue for a text that shouldn't open an incident, or null; live cues keep any text."""
     t = F.coalesce(text, F.lit(""))
     found = F.lit(None).cast("struct<reason:string,cue:string>")
     start = F.regexp_replace(F.regexp_replace(t, r"^RT @\w+:\s*", ""), "^[^A-Za-z]+", "")

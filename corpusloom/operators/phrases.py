@@ -18,14 +18,14 @@ def phrase_uses(posts: DataFrame, low: int = 2, high: int = 4, stop: list[str] |
 
 
 def mine(uses: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> DataFrame:
-    """Phrases that enough distinct authors use, with posts and the earliest use."""
+    """Phrases that enough distinct authors use, with posts and the earliest use."""
     out = uses.groupBy(*keys, "phrase").agg(F.countDistinct("author_id").alias("members"), F.countDistinct("post_id").alias("posts"), F.min(F.struct("created", "post_id", "author_id")).alias("first"))
     out = out.filter(F.col("members") >= least)
     return out.select(*keys, "phrase", "members", "posts", F.col("first.created").alias("first_seen"), F.col("first.author_id").alias("first_author"))
 
 
 def prune_contained(phrases: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
-    """Drop a phrase that a strictly longer one with as many members contains.
+    """Drop a phrase that a strictly longer one with as many members contains.
 
     Containment is of characters: the first two tokens of what is contained are then the end of one token
     and the beginning of the next one of what contains it.  Up to three characters on either side of a space
@@ -59,7 +59,7 @@ def adoption(first: DataFrame, as_of_day: Column, days: int = 7) -> DataFrame:
 
 
 def families(phrases: DataFrame) -> DataFrame:
-    """(phrase, family) for phrases one token apart, or with the same last token where one holds the other.
+    """(phrase, family) for phrases one token apart, or with the same last token where one holds the other.
 
     phrases has few rows (the top of a ranking), so pairs are made through shared tokens: two related
     phrases always share one, except pairs of single tokens, which are no phrases.

@@ -65,7 +65,7 @@ def manifest(lines: DataFrame) -> DataFrame:
 
 
 def pack(sizes: DataFrame, group: str, order: str, weight: str, most_rows: int = 40, most_weight: int = 120_000) -> DataFrame:
-    """Chunks in order, a new one when rows or weight would exceed their bounds; one fold per group.
+    """Chunks in order, a new one when rows or weight would exceed their bounds; one fold per group.
 
     The fold is an aggregate over the group's ordered array, so no Python is run; groups are days.
     """

@@ -50,7 +50,7 @@ def candidates(posts: DataFrame) -> DataFrame:
 
 
 def promote(scored: DataFrame, taxonomy: DataFrame, posts: int = 5, members: int = 3, days: int = 2, cap: int = 8) -> DataFrame:
-    """Stories that become subtopics, the largest first, with the reason for each that doesn't.
+    """Stories that become subtopics, the largest first, with the reason for each that doesn't.
 
     scored: story, macro, posts, members, days; taxonomy: macro, sub.  Of several with one slug under one
     macro the largest counts.
@@ -71,7 +71,7 @@ def promote(scored: DataFrame, taxonomy: DataFrame, posts: int = 5, members: int
 
 
 def elevate(subs: DataFrame, share: float = 0.6, factor: float = 3.0, least_share: float = 0.25, least_posts: int = 8, siblings: int = 3) -> DataFrame:
-    """Whether a sub outgrows its macro: most of its posts, or thrice the median of its live siblings.
+    """Whether a sub outgrows its macro: most of its posts, or thrice the median of its live siblings.
 
     subs: macro, sub, posts, members.  A median that leaves one row out: siblings are joined and aggregated.
     """

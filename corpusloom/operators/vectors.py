@@ -111,7 +111,7 @@ def neighbours(vectors: DataFrame, stories: DataFrame, members: DataFrame | None
 
 
 def precision_at(ranked_rows: DataFrame, keys: list[str], relevant: Column, ks: tuple[int, ...] = (10, 20, 40)) -> DataFrame:
-    """Share of relevant rows among the first k; rows have rank."""
+    """Share of relevant rows among the first k; rows have rank."""
     return ranked_rows.groupBy(*keys).agg(*[M.places(F.avg(F.when(F.col("rank") <= k, relevant.cast("int"))), 4).alias(f"p_at_{k}") for k in ks])
 
 
@@ -169,3 +169,10 @@ def cluster_pools(vectors: DataFrame, pool: str, least: float = 0.82, most: int
 
     kind = vectors.schema[pool].dataType.simpleString()
     return vectors.select(pool, "vec_id", "embedding").groupBy(pool).applyInPandas(run, f"{pool} {kind}, vec_id {vectors.schema['vec_id'].dataType.simpleString()}, cluster int")
+
+
+def semantic_context(index: DataFrame, stories: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vectors of the posts that stories hold, and the stories' centroids; stories: story, ids."""
+    members = stories.select("story", F.explode("ids").alias("vec_id"))
+    held = index.join(members, "vec_id")
+    return members, centroids(held.select("story", "embedding"), "story", "embedding")

@@ -32,7 +32,7 @@ def argmin(df: DataFrame, keys, value: str, *order: str) -> DataFrame:
 
 
 def islands(df: DataFrame, keys, ts: str, gap_seconds: int, tiebreak: str, name: str = "island") -> DataFrame:
-    """Number the runs of rows whose neighbours are at most a gap apart."""
+    """Number the runs of rows whose neighbours are at most a gap apart."""
     w = Window.partitionBy(*_cols(keys)).orderBy(ts, tiebreak)
     apart = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lag(ts).over(w).cast("timestamp"))
     fresh = F.when(apart.isNull() | (apart > gap_seconds * 1_000_000), 1).otherwise(0)
@@ -62,7 +62,7 @@ def top_share(df: DataFrame, keys, amount: str, k: int, *order) -> DataFrame:
 
 
 def interior(df: DataFrame, day: str) -> DataFrame:
-    """Rows of days that are neither the first nor the last; the two bounds are one small aggregate."""
+    """Rows of days that are neither the first nor the last; the two bounds are one small aggregate."""
     bounds = df.agg(F.min(day).alias("_lo"), F.max(day).alias("_hi"))
     return df.join(F.broadcast(bounds), (F.col(day) > F.col("_lo")) & (F.col(day) < F.col("_hi"))).drop("_lo", "_hi")  # one row
 

@@ -134,7 +134,7 @@ def pending_queue(pending: DataFrame, fresh: DataFrame, done: DataFrame, cap: in
 
 
 def backfill_plan(users: DataFrame, progress: DataFrame, start: Column) -> DataFrame:
-    """ST13, V40, V41: where each user's backfill goes on; a token without a page, or progress of no user, is an error."""
+    """ST13, V14, V40, V41: where each user's backfill goes on; a token without a page, or progress of no user, is an error."""
     joined = users.join(progress.withColumnRenamed("user_id", "_u"), F.col("user_id") == F.col("_u"), "full_outer")
     bad = F.col("user_id").isNull() | (F.col("token").isNotNull() & (F.coalesce("pages", F.lit(0)) < 1))
     state = F.when(bad, F.raise_error(F.lit("progress that fits no user")).cast("string")).when(F.coalesce("done", F.lit(False)), "done").when(F.col("token").isNotNull(), "continue").otherwise("start")

@@ -36,6 +36,25 @@ def json_document(spark: SparkSession, path: str, schema: str, strict: bool = Tr
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(path)
 
 
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The spend ledger; a line that doesn't fit the schema, or a negative count, is an error."""
+    rows = jsonl(spark, path, schemas.LEDGER)
+    bad = F.least("calls", "input", "output", "cache_read", "cache_write") < 0
+    return rows.withColumn("calls", F.when(bad, F.raise_error(F.lit("negative count in the ledger")).cast("bigint")).otherwise(F.col("calls")))
+
+
+def capture_state(spark: SparkSession, path: str, archive_path: str) -> DataFrame:
+    """The capture state; it may be missing only while there is no archive, lest the cursor starts over."""
+    if not exists(spark, path) and exists(spark, archive_path):
+        raise ValueError("an archive without its capture state: restore the state first")
+    return json_document(spark, path, "sinceId string, sinceIdSupported boolean, recentNewCounts array<bigint>, usage map<string,struct<posts:bigint,users:bigint>>")
+
+
+def quoted_store(spark: SparkSession, path: str) -> DataFrame:
+    """Originals that other posts quote, by id."""
+    return jsonl(spark, path, "post_id string, text string, createdAt string").dropDuplicates(["post_id"])
+
+
 def archive(spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> DataFrame:
     """Posts of a day-partitioned archive, each id once (oldest partition, then first captured).
 

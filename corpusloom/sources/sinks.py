@@ -57,6 +57,15 @@ def upsert_metrics(new: DataFrame, path: str) -> None:
     swap(enrich.upsert_metrics(old, new), path)
 
 
+def upsert_phrases(uses: DataFrame, path: str) -> None:
+    """K07, ST12: the ledger of first uses after another day: the least day of each author and phrase, as a whole new version."""
+    from ..operators.phrases import member_first
+
+    spark = uses.sparkSession
+    fs, p = _fs(spark, path)
+    swap(member_first(uses, spark.read.parquet(path) if fs.exists(p) else None), path)
+
+
 def seed_metrics(posts: DataFrame, metrics: DataFrame, as_of: Column) -> DataFrame:
     """Rows for originals older than a day that have none yet, from what was captured."""
     old = posts.filter((F.col("type") != "retweet") & (F.col("created") <= as_of - F.expr("INTERVAL 24 HOURS")))
@@ -98,6 +107,13 @@ def report(title: str, sections: list[tuple[str, DataFrame, int]]) -> str:
     return "\n".join(out) + "\n"
 
 
+def render_taxonomy(taxonomy: DataFrame) -> DataFrame:
+    """one text per macro: its subs in order with their aliases; retired ones are left out."""
+    live = taxonomy.filter(~F.coalesce("retired", F.lit(False)) & F.col("sub").isNotNull())
+    line = F.concat(F.lit("  "), F.col("sub"), F.when(F.size("aliases") > 0, F.concat(F.lit(": "), F.array_join(F.sort_array("aliases"), ", "))).otherwise(""))
+    return live.groupBy("macro").agg(F.concat(F.col("macro"), F.lit("\n"), F.array_join(F.sort_array(F.collect_list(line)), "\n")).alias("text"))
+
+
 def taxonomy_changes(taxonomy: DataFrame, changes: DataFrame) -> DataFrame:
     """The taxonomy after changes (macro, sub, op, value): add, retire, rename, alias, merge; replaying is no change."""
     one = lambda op: changes.filter(F.col("op") == op).select("macro", "sub", F.col("value").alias(f"_{op}"))

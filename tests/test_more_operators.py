@@ -131,3 +131,21 @@ def test_jobs_queues_and_journals(spark):
 def test_embedding_is_a_unit_vector(spark):
     (v,) = spark.createDataFrame([("some words here",)], "t string").select(L.hashed_embedding(16)("t").alias("v")).first()
     assert abs(sum(x * x for x in v) - 1) < 1e-5
+
+
+def test_ledgers_state_and_rendering(spark, tmp_path):
+    from corpusloom.sources import readers, sinks
+
+    f = tmp_path / "l.jsonl"
+    f.write_text('{"day":"2024-01-01","stage":"s","model":"m","batch":false,"calls":1,"input":1,"output":1,"cache_read":0,"cache_write":-1}')
+    with pytest.raises(Exception, match="negative"):
+        readers.ledger(spark, str(f)).collect()
+    with pytest.raises(ValueError, match="without"):
+        readers.capture_state(spark, str(tmp_path / "none.json"), str(tmp_path))
+    uses = lambda *r: spark.createDataFrame(list(r), "phrase string, author_id int, day int")
+    path = str(tmp_path / "phrases")
+    sinks.upsert_phrases(uses(("x", 1, 5)), path)
+    sinks.upsert_phrases(uses(("x", 1, 3), ("x", 2, 9)), path)
+    assert rows(spark.read.parquet(path), "author_id", "day") == [(1, 3), (2, 9)]
+    t = spark.createDataFrame([("m", "b", ["z", "y"], False), ("m", "a", [], None), ("m", "c", [], True)], "macro string, sub string, aliases array<string>, retired boolean")
+    assert rows(sinks.render_taxonomy(t), "text") == ["m\n  a\n  b: y, z"]
