@@ -19,7 +19,16 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set("spark.checkpoint.dir", where)
     path = f"{where.rstrip('/')}/graph-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.loom_path = path
+    return out
+
+
+def drop(df: DataFrame) -> None:
+    """Delete what cut() wrote."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.loom_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -37,7 +46,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         up = cut(both.join(least, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = up.groupBy("u").agg(F.min("v").alias("m"))
         down = up.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        links = cut(down.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        after = cut(down.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+        drop(links)
+        drop(up)
+        links = after
         mark = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break

@@ -73,14 +73,17 @@ def lifecycles(stream: DataFrame, key: str = "incident", ts: str = "created", la
     def run(k, frames, state):
         last, stage = state.get if state.exists else (0, -1)
         if state.hasTimedOut:
-            stage += 1
-            name = steps[stage][0]
+            now, names = state.getCurrentWatermarkMs(), []
+            # the watermark may have passed several steps at once
+            while stage + 1 < len(steps) and (not names or last + steps[stage + 1][1] * 3_600_000 <= now):
+                stage += 1
+                names.append(steps[stage][0])
             if stage + 1 < len(steps):
                 state.update((last, stage))
-                state.setTimeoutTimestamp(last + steps[stage + 1][1] * 3_600_000)
+                state.setTimeoutTimestamp(max(last + steps[stage + 1][1] * 3_600_000, now + 1))
             else:
                 state.remove()
-            yield pd.DataFrame({key: [k[0]], "phase": [name], "last": [pd.Timestamp(last, unit="ms")]})
+            yield pd.DataFrame({key: [k[0]] * len(names), "phase": names, "last": [pd.Timestamp(last, unit="ms")] * len(names)})
             return
         last = max([last, *(int(f[ts].max().timestamp() * 1000) for f in frames)])
         state.update((last, -1))

@@ -182,3 +182,19 @@ def test_windows(spark):
     assert rows(windows.latest_version(df, "key", "version", "position"), "v") == ["b"] and rows(windows.first_row(df, "key", "position"), "v") == ["a"]
     n = spark.range(10).withColumn("n", F.lit(10).cast("bigint"))
     assert windows.fitting_prefix(n, F.col("n"), 35, "id", bucket=F.floor(F.col("id") / 4)).count() == 3
+
+
+def test_stream_windows_sessions_and_lifecycles(spark, tmp_path):
+    src = str(tmp_path / "ev")
+    at = [datetime(2024, 1, 1, 0), datetime(2024, 1, 1, 5), datetime(2024, 1, 2, 0), datetime(2024, 1, 5, 0), datetime(2024, 1, 9, 0)]
+    for i, t in enumerate(at):  # one file a batch, so that the watermark moves on
+        spark.createDataFrame([(i, "k" if i < 3 else "z", t, i, 10, "m")], "post_id int, incident string, created timestamp, author_id int, engagement int, macro string").coalesce(1).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    read = lambda: stream.read_posts(spark, src, schema, files=1)
+    out = stream.run_to_end(stream.sessions(read(), ["incident"], late="1 hour"), "sess")
+    assert ("k", 3) in {(r.incident, r.posts) for r in out.collect()}
+    out = stream.run_to_end(stream.rolling(read(), ["macro"], size="2 days", slide="1 day", late="1 hour"), "roll", "complete")
+    assert {r.start.day: r.posts for r in out.collect()}[1] == 3
+    phases = [(r.incident, r.phase) for r in stream.run_to_end(stream.lifecycles(read()), "life").collect()]
+    assert ("k", "active") in phases and ("k", "monitoring") in phases
+    assert {r.posts for r in stream.run_to_end(stream.daily(read(), ["macro"]), "days", "complete").collect()} == {1, 2}
