@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.bpe import bpe_stage
-from corpusloom.llm.common import cut, table
+from corpusloom.llm.common import cut, drop, table
 from corpusloom.llm.linededup import line_stage
 from corpusloom.llm.mixing import mixing_stage
 from corpusloom.llm.neardup import neardup_stage
@@ -30,6 +30,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+    for n, (_, stage) in enumerate(STAGES[:-1]):
+        kept = cut(stage(spark, docs, sf_dir))
+        if n:
+            drop(docs)  # written by the stage before, read by this one only
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
