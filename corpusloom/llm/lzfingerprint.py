@@ -127,6 +127,7 @@ def followed(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of df (key, text) with part (a range of keys, in descending order) and last: a copy of the row that follows the range.
 
     Within a part, by descending key and text, each row's next is the one below; the last row of a part is a copy.
+    Keys are numbers, which quantiles are taken of.
     """
     spark = df.sparkSession
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -370,8 +370,8 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that of the least doc_id."""
     gone = near_duplicates(docs).filter("not kept").select("doc_id", "component_id").distinct()
-    gone = gone.select(F.col("doc_id").alias("_gone"))
-    return join_small(docs.withColumn("_gone", F.col("doc_id")), cut(gone.distinct()), ["_gone"], "left_anti", IDS).drop("_gone")
+    gone = gone.select(F.col("doc_id").alias("_loom_gone"))
+    return join_small(docs.withColumn("_loom_gone", F.col("doc_id")), cut(gone.distinct()), ["_loom_gone"], "left_anti", IDS).drop("_loom_gone")
 
 
 ORACLE = r"""
