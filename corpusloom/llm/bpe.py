@@ -29,6 +29,8 @@ from .common import small_batches, table
 
 REMEMBER, SHORT = 350_000, 64
 BITS = 8
+LOW = (1 << BITS) - 1
+_NONE: dict[int, int] = {}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -42,16 +44,22 @@ class Tokenizer:
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         self.byte = [ranks[bytes([i])] for i in range(256)]
-        self.pair: dict[int, int] = {}
+        size = max(ranks.values()) + 1
+        #: right[a][b] is the rank of the pair (a, b); most tokens begin no pair and share one empty table.
+        self.right: list[dict[int, int]] = [_NONE] * size
         for token, rank in ranks.items():
             for i in range(1, len(token)):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
-                    self.pair[a << 32 | b] = rank
+                    if self.right[a] is _NONE:
+                        self.right[a] = {}
+                    self.right[a][b] = rank
+        #: the lower level of the bitmap; all zero between calls, since a merge empties its queue
+        self.words = [0] * ((size >> BITS) + 1)
+        self.masks = [1 << i for i in range(max(LOW + 1, len(self.words)))]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         by_id = sorted(ranks.items(), key=lambda x: x[1])
-        size = by_id[-1][1] + 1
         self.length = np.zeros(size, np.int64)
         for token, rank in by_id:
             self.length[rank] = len(token)
@@ -63,47 +71,44 @@ class Tokenizer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        rank_of, byte = self.pair.get, self.byte
+        right, words, masks, byte = self.right, self.words, self.masks, self.byte
         ids = [byte[x] for x in piece]
         n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         buckets: dict[int, list[int]] = {}
-        words: dict[int, int] = {}
         top = 0
-        low_bits = (1 << BITS) - 1
         for i in range(n - 1):
-            r = rank_of(ids[i] << 32 | ids[i + 1])
+            r = right[ids[i]].get(ids[i + 1])
             if r is not None:
                 if r in buckets:
                     buckets[r].append(i)
                 else:
                     buckets[r] = [i]
                     w = r >> BITS
-                    words[w] = words.get(w, 0) | 1 << (r & low_bits)
-                    top |= 1 << w
+                    words[w] |= masks[r & LOW]
+                    top |= masks[w]
         while top:
-            w = (top & -top).bit_length() - 1
+            lowest = top & -top
+            w = lowest.bit_length() - 1
             word = words[w]
             bit = word & -word
             rank = w << BITS | bit.bit_length() - 1
             words[w] = word = word ^ bit
             if not word:
-                top ^= 1 << w
+                top ^= lowest
             todo = buckets.pop(rank)
             if len(todo) > 1:
                 todo.sort()
             for k, i in enumerate(todo):
                 j = after[i]
-                if j >= n or ids[i] < 0 or rank_of(ids[i] << 32 | ids[j]) != rank:
+                if j >= n or ids[i] < 0 or right[ids[i]].get(ids[j]) != rank:
                     continue  # stale
                 ids[i], ids[j] = rank, -1
                 q = after[i] = after[j]
-                if q < n:
-                    before[q] = i
                 lower = False
                 p = before[i]
                 if p >= 0:
-                    r = rank_of(ids[p] << 32 | rank)
+                    r = right[ids[p]].get(rank)
                     if r is not None:
                         lower = r < rank
                         if r in buckets:
@@ -111,10 +116,11 @@ class Tokenizer:
                         else:
                             buckets[r] = [p]
                             w = r >> BITS
-                            words[w] = words.get(w, 0) | 1 << (r & low_bits)
-                            top |= 1 << w
+                            words[w] |= masks[r & LOW]
+                            top |= masks[w]
                 if q < n:
-                    r = rank_of(rank << 32 | ids[q])
+                    before[q] = i
+                    r = right[rank].get(ids[q])
                     if r is not None:
                         lower |= r < rank
                         if r in buckets:
@@ -122,13 +128,13 @@ class Tokenizer:
                         else:
                             buckets[r] = [i]
                             w = r >> BITS
-                            words[w] = words.get(w, 0) | 1 << (r & low_bits)
-                            top |= 1 << w
+                            words[w] |= masks[r & LOW]
+                            top |= masks[w]
                 if lower and k + 1 < len(todo):  # the rest waits: a lower rank goes first
                     buckets[rank] = todo[k + 1 :]
                     w = rank >> BITS
-                    words[w] = words.get(w, 0) | 1 << (rank & low_bits)
-                    top |= 1 << w
+                    words[w] |= masks[rank & LOW]
+                    top |= masks[w]
                     break
         return [x for x in ids if x >= 0]
 
