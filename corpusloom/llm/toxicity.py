@@ -42,8 +42,6 @@ LEAST, LEAST_SHARE = 5, 0.004
 _LETTER = np.zeros(256, np.uint64)
 for _i in range(26):
     _LETTER[97 + _i] = 1 << _i
-for _i in range(128, 256):
-    _LETTER[_i] = 1 << (26 + _i % 37)
 _EDGE = np.zeros(256, bool)
 _EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 QUOTES = '"“”„«»'
@@ -67,6 +65,25 @@ def tokens(b: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return data, s, e, doc
 
 
+def scalars(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the code points beyond ASCII."""
+    lead = np.flatnonzero(data >= 0xC0)
+    first = data[lead].astype(np.int64)
+    tail = [(data[np.minimum(lead + i, max(len(data) - 1, 0))] & 0x3F).astype(np.int64) for i in (1, 2, 3)]
+    two = (first & 0x1F) << 6 | tail[0]
+    three = (first & 0x0F) << 12 | tail[0] << 6 | tail[1]
+    four = (first & 0x07) << 18 | tail[0] << 12 | tail[1] << 6 | tail[2]
+    return lead, np.where(first < 0xE0, two, np.where(first < 0xF0, three, four))
+
+
+def letter_bits(data: np.ndarray) -> np.ndarray:
+    """One bit, or none, at each code point's first byte, so that an edit changes two bits of a word's union at most."""
+    out = _LETTER[data]
+    lead, value = scalars(data)
+    out[lead] = np.uint64(1) << (26 + value % 37).astype(np.uint64)
+    return out
+
+
 class Automaton:
     """The trie of a lexicon; match() intersects it with the Levenshtein automaton of a word."""
 
@@ -141,7 +158,7 @@ class Matcher:
             else:
                 self.exact.append(h)
                 if k := Automaton.errors(term, stem):
-                    self.fuzzy.append((len(term), np.bitwise_or.reduce(_LETTER[raw]), k))
+                    self.fuzzy.append((len(term), np.bitwise_or.reduce(letter_bits(raw)), k))
         self.exact = np.array(self.exact, np.uint64)
         self.stems = {k: np.array(v, np.uint64) for k, v in self.stems.items()}
         self.cache: dict[bytes, list[tuple[int, int]]] = {}
@@ -169,7 +186,7 @@ class Matcher:
             longer = np.flatnonzero(size > k)
             mine[longer] |= np.isin(hasher(s[longer], begins[at[s[longer]] + k]), wanted)
         if self.fuzzy:
-            letters = np.bitwise_or.reduceat(_LETTER[data], np.minimum(s, len(data) - 1))
+            letters = np.bitwise_or.reduceat(letter_bits(data), np.minimum(s, len(data) - 1))
             for length, mask, k in self.fuzzy:
                 near = np.flatnonzero(np.abs(size - length) <= k)
                 mine[near[np.bitwise_count(letters[near] ^ mask) <= 2 * k]] = True

@@ -344,6 +344,31 @@ def test_matching_filters_lose_nothing():
     assert [q for *_, q, _ in m.hits(b)[1]][1]
 
 
+def test_filter_keeps_edits_of_letters_beyond_ascii():
+    import random
+
+    import pyarrow as pa
+
+    from corpusloom.llm import textkernel as K
+
+    random.seed(5)
+    names = ["idiot", "blöde", "crétin", "estúpido", "дурак", "worthless"]
+    m = toxicity.Matcher([(t, False) for t in names], set())
+    words = ["idiót", "blode", "cretin", "estupido", "idi\u043et", "dурак", "idiot😀x"]
+    for t in names:
+        for _ in range(80):
+            w = list(t)
+            for _ in range(random.randint(1, 2)):
+                k = random.randint(0, len(w))
+                w[k : k + random.randint(0, 1)] = random.choices("aioéöúßжо語😀", k=random.randint(0, 1))
+            words.append("".join(w))
+    found = {w.decode(): (i, k) for b in K.blocks(pa.array([" ".join(words)])) for _, i, k, _, w in m.hits(b)[1]}
+    for w in words:
+        near = [(distance(w, t), -len(t), i) for i, t in enumerate(names) if distance(w, t) <= toxicity.Automaton.errors(t, False)]
+        if w[0] != "😀" and w[-1] != "😀":
+            assert (w in found) == bool(near) and (not near or found[w] == (min(near)[2], min(near)[0])), w
+
+
 def test_toxicity_on_held_out_labels(spark):
     d = "/root/testdata/sf0.1"
     out = QUERIES["op10_toxicity"](spark, d).filter("held_out").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").select("toxic", "predicted").collect()
