@@ -8,7 +8,8 @@ no earlier term has caught.  A logistic regression on what matching finds turns
 Matching.  The terms form a trie.  For a word of a text, the Levenshtein automaton of that word (bit
 sets of positions, one for each number of errors) is run along the trie; branches where it dies are
 not entered.  A word is only tried if it can match: a word within k edits of a term differs from it
-by k in length and in 2k letters at most, which is tested for whole blocks at once.  Words that the
+by k in length and in 2k letters at most, which is tested for whole blocks at once, with a bit for each
+code point.  A word reaches from the first to the last letter or digit between blanks, whatever its length.  Words that the
 sample's other documents use themselves, such as a name one letter away from a term, are no misspellings.
 
 Context.  A hit within quotation marks counts less (``QUOTED``) unless its window of words on either
@@ -21,7 +22,9 @@ ties and skewed keys make no difference.
 
 from __future__ import annotations
 
+import functools
 import json
+import unicodedata
 from collections import defaultdict
 
 import numpy as np
@@ -42,26 +45,45 @@ LEAST, LEAST_SHARE = 5, 0.004
 _LETTER = np.zeros(256, np.uint64)
 for _i in range(26):
     _LETTER[97 + _i] = 1 << _i
-_EDGE = np.zeros(256, bool)
-_EDGE[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 QUOTES = '"“”„«»'
 
 
+@functools.cache
+def _kinds() -> np.ndarray:
+    """For each code point: 1 for letters and digits, 2 for marks, which belong to the letter before, 0 for the rest."""
+    return np.array([{"L": 1, "N": 1, "M": 2}.get(unicodedata.category(chr(i))[0], 0) for i in range(0x110000)], np.uint8)
+
+
+def inner(b: K.Block, data: np.ndarray) -> np.ndarray:
+    """Is this the first byte of a letter or digit, or of a mark that follows one?"""
+    kinds = _kinds()
+    out = kinds[data]
+    out[data >= 0x80] = 0
+    lead, value = scalars(data)
+    out[lead] = kinds[np.minimum(value, 0x10FFFF)]
+    if (out == 2).any():
+        out[b.off[:-1][b.off[:-1] < len(data)]] &= 1  # nothing stands before a text's first
+        first = np.flatnonzero((data & 0xC0) != 0x80)
+        kind = out[first]
+        out[first] = kind[np.maximum.accumulate(np.where(kind != 2, np.arange(len(kind)), 0))] == 1
+    return out == 1
+
+
 def tokens(b: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes; start, end and document of words without punctuation at their ends."""
+    """Lower-cased bytes; start, end and document of words from their first to their last letter or digit, empty if they have none."""
     data = K.lowered(b.data)
     s, e, doc = K.words(b)
-    s, e = s.copy(), e.copy()
-    for _ in range(16):
-        more = (s < e) & _EDGE[data[np.minimum(s, len(data) - 1)]] if len(s) else np.zeros(0, bool)
-        if not more.any():
-            break
-        s[more] += 1
-    for _ in range(16):
-        more = (s < e) & _EDGE[data[e - 1]] if len(s) else np.zeros(0, bool)
-        if not more.any():
-            break
-        e[more] -= 1
+    if not len(s):
+        return data, s, e, doc
+    inside = inner(b, data)
+    at = np.flatnonzero(inside)
+    before = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(inside, out=before[1:])
+    some = np.flatnonzero(before[e] > before[s])
+    left, last = at[before[s[some]]], at[before[e[some]] - 1]
+    s, e, stop = e.copy(), e.copy(), e[some]
+    s[some] = left
+    e[some] = np.minimum(last + 1 + (data[last] >= 0xC0) + (data[last] >= 0xE0) + (data[last] >= 0xF0), stop)
     return data, s, e, doc
 
 
@@ -77,10 +99,14 @@ def scalars(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def letter_bits(data: np.ndarray) -> np.ndarray:
-    """One bit, or none, at each code point's first byte, so that an edit changes two bits of a word's union at most."""
+    """One bit, or none, at each code point's first byte, so that an edit changes two bits of a word's union at most.
+
+    Only letters and digits have bits, so marks between two words add none to the first.
+    """
     out = _LETTER[data]
     lead, value = scalars(data)
-    out[lead] = np.uint64(1) << (26 + value % 37).astype(np.uint64)
+    letter = _kinds()[np.minimum(value, 0x10FFFF)] == 1
+    out[lead[letter]] = np.uint64(1) << (26 + value[letter] % 37).astype(np.uint64)
     return out
 
 
@@ -119,7 +145,9 @@ class Automaton:
             reach |= reach << 1 & full
         found = []
 
-        def walk(node: int, states: list[int]):
+        todo = [(0, start)]
+        while todo:
+            node, states = todo.pop()
             for i in self.ends[node]:
                 term, stem = self.terms[i]
                 if stem:
@@ -130,6 +158,7 @@ class Automaton:
                         if states[k] >> n & 1:
                             found.append((i, k))
                             break
+            below = []
             for c, child in self.nodes[node].items():
                 hit = at.get(c, 0)
                 new = [(states[0] & hit) << 1]
@@ -137,9 +166,8 @@ class Automaton:
                     low = states[k - 1]
                     new.append(((states[k] & hit) << 1 | low | low << 1 | new[k - 1] << 1) & full)
                 if any(new):
-                    walk(child, new)
-
-        walk(0, start)
+                    below.append((child, new))
+            todo += reversed(below)
         return found
 
 
@@ -161,14 +189,17 @@ class Matcher:
                     self.fuzzy.append((len(term), np.bitwise_or.reduce(letter_bits(raw)), k))
         self.exact = np.array(self.exact, np.uint64)
         self.stems = {k: np.array(v, np.uint64) for k, v in self.stems.items()}
+        # what is longer than the longest term by 3 is no misspelling of it; its stems lie in these first code points
+        self.longest = max((len(t) for t, _ in terms), default=0) + 3
         self.cache: dict[bytes, list[tuple[int, int]]] = {}
 
     def _match(self, word: bytes) -> list[tuple[int, int]]:
+        word = word[: 4 * self.longest]
         if word not in self.cache:
             if len(self.cache) > 200_000:
                 self.cache.clear()
-            text = word.decode("utf-8", "replace")
-            self.cache[word] = [(i, k) for i, k in (self.automaton.match(text) if len(text) <= 200 else []) if not k or text not in self.known]
+            text = word.decode("utf-8", "replace")[: self.longest]
+            self.cache[word] = [(i, k) for i, k in self.automaton.match(text) if not k or text not in self.known]
         return self.cache[word]
 
     def hits(self, b: K.Block) -> tuple[np.ndarray, list[tuple[int, int, int, bool, bytes]]]:

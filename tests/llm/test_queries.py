@@ -369,6 +369,21 @@ def test_filter_keeps_edits_of_letters_beyond_ascii():
             assert (w in found) == bool(near) and (not near or found[w] == (min(near)[2], min(near)[0])), w
 
 
+def test_words_between_any_marks_and_of_any_length_match():
+    import pyarrow as pa
+
+    from corpusloom.llm import textkernel as K
+
+    m = toxicity.Matcher([("idiot", False), ("achl", True), ("crétin", False), ("x" * 1500, False)], set())
+    words = ["idiot" + "!" * 20, "?" * 300 + "idiot", "“idiot”", "idiot…", "«idiot»😀", "achl" + "y" * 500, "“crétin”", "cre\u0301tin…", "!!!", "…", "\u0301", "x" * 1500, "idiet…„", "„idaot”"]
+    column = pa.array([*words, None, "", "…idiot", "\u0301idiot"])
+    hits = [(d + b.rows.start, i, k) for b in K.blocks(column) for d, i, k, _, _ in m.hits(b)[1]]
+    assert hits == [(0, 0, 0), (1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 1, 0), (6, 2, 0), (11, 3, 0), (12, 0, 1), (13, 0, 1), (16, 0, 0), (17, 0, 0)]
+    # a text's hits don't depend on its neighbours
+    alone = [(n, i, k) for n, t in enumerate(column) for b in K.blocks(pa.array([t.as_py()], pa.string())) for _, i, k, _, _ in m.hits(b)[1]]
+    assert alone == hits
+
+
 def test_toxicity_on_held_out_labels(spark):
     d = "/root/testdata/sf0.1"
     out = QUERIES["op10_toxicity"](spark, d).filter("held_out").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").select("toxic", "predicted").collect()
