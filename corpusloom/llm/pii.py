@@ -2,8 +2,8 @@
 
 Protected entities are what four patterns find: mail and IP addresses, card and phone numbers.  Terms
 (runs of letters and digits) near an entity may reveal it even where it is removed.  How strongly is
-estimated from the corpus: with p(e) the share of documents that hold entity e and p(e|t) that among
-documents that hold term t, the disclosure of e by t is PMI(e, t) / IC(e) = 1 - log p(e|t) / log p(e), the
+estimated from the corpus: with p(e) the share of distinct texts that hold entity e and p(e|t) that among
+texts that hold term t, the disclosure of e by t is PMI(e, t) / IC(e) = 1 - log p(e|t) / log p(e), the
 share of e's information content that t gives away.  A term whose disclosure of some entity is at
 least ``DISCLOSED`` is generalised to a label, from ``REMOVED`` on removed, wherever it stands.
 
@@ -111,14 +111,14 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, Data
     by_entity = near.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     both = near.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= SUPPORT)
     around = near.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    total = found.count()
+    total = found.select("h").distinct().count()
     disclosure = lambda n: 1 - F.log(F.least(F.col("n_et") / F.col(n), F.lit(1.0))) / F.log(F.col("n_e") / F.lit(float(max(total, 2) + 1)))
     candidates = both.join(by_entity, "entity").join(around, "term").filter(disclosure("n_near") >= DISCLOSED)
     candidates = cut(candidates.select("entity", "term", "n_et", "n_e"))
     wanted = candidates.select("term").distinct()
     words = docs.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.array_distinct(F.split(F.lower("text"), f"{TERM.replace('[', '[^')}"))).alias("term"))
     holders = cut(join_small(words, wanted, ["term"], "left_semi")) if candidates.limit(1).count() else words.limit(0)
-    counts = holders.groupBy("term").agg(F.count("*").alias("n_t"))
+    counts = holders.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
     terms = cut(candidates.join(counts, "term").withColumn("d", disclosure("n_t")).groupBy("term").agg(F.max("d").alias("disclosure")).filter(F.col("disclosure") >= DISCLOSED))
     drop(near, candidates)
     return terms, holders

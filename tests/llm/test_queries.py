@@ -296,6 +296,14 @@ def test_terms_that_reveal_an_entity_are_found_and_generalised(spark):
     assert "ann@mail.org" not in out[0] and "[EMAIL]" in out[0] and "Zorblax" not in out[999] and out[100] == f"{common} number0"
 
 
+def test_copies_of_a_text_hide_no_disclosing_term(spark):
+    rows = [(i, f"tale{i} quillfeather writes from quill@example.org on day{i}") for i in range(3)]
+    rows += [(100 + i, rows[0][1]) for i in range(300)] + [(1000 + i, f"plain words of text{i}") for i in range(400)]
+    found = pii.find_personal_data(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    marked = {r.doc_id for r in found.collect() if any(x.v.lstrip("-") == "quillfeather" for x in r.term)}
+    assert marked == {0, 1, 2, *range(100, 400)}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i in range(1, len(a) + 1):
