@@ -36,7 +36,7 @@ WORDS, SHARE = 5, 75
 #: Five standard deviations of an estimate from M registers below 0.75.
 NEAR = 0.75 - 5 * (0.75 * 0.25 / M) ** 0.5
 BLOCK = 1024
-#: Ids that a broadcast may hold, eight bytes each.
+#: Ids that a broadcast may hold, eight bytes each, or sixteen with the hash of a text.
 IDS = 250_000
 
 _rng = np.random.default_rng(77)
@@ -327,9 +327,9 @@ def _in_blocks(dealt: DataFrame, grams: bool) -> DataFrame:
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, shape).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
-    rows = cut(signatures(docs, ["doc_id"], k))
+def near_duplicates(docs: DataFrame, k: int = WORDS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns of keep, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
+    rows = cut(signatures(docs, ["doc_id", *keep], k))
     # min() prefers any id to null, so a class is named by a null id only if all its ids are null
     classes = rows.filter("n_shingles > 0").groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("row"))
     sigs = rows.filter("n_shingles > 0").select("n_shingles", "k1", "k2", "sig").dropDuplicates(["n_shingles", "k1", "k2"])
@@ -358,9 +358,9 @@ def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
     named = classes.select("n_shingles", "k1", "k2", "cid", F.col("row")).join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     lowest = named.groupBy("root").agg(F.min("row").alias("component_id"))
     named = named.join(lowest, "root").select("n_shingles", "k1", "k2", "component_id")
-    out = rows.select("doc_id", "n_shingles", "k1", "k2").join(named, ["n_shingles", "k1", "k2"], "left")
+    out = rows.select("doc_id", *keep, "n_shingles", "k1", "k2").join(named, ["n_shingles", "k1", "k2"], "left")
     alone = F.col("n_shingles") == 0
-    return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", *keep, "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,10 +368,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that of the least doc_id."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id", "component_id").distinct()
-    gone = gone.select(F.col("doc_id").alias("_loom_gone"))
-    return join_small(docs.withColumn("_loom_gone", F.col("doc_id")), cut(gone.distinct()), ["_loom_gone"], "left_anti", IDS).drop("_loom_gone")
+    """One document of each group: that of the least doc_id.
+
+    Rows go by doc_id and text: others of the same doc_id, or of none, stay.
+    """
+    keyed = docs.withColumn("_loom_gone", F.col("doc_id")).withColumn("_loom_text", F.xxhash64("text"))
+    gone = near_duplicates(keyed, keep=("_loom_text",)).filter("not kept").select(F.col("doc_id").alias("_loom_gone"), "_loom_text")
+    return join_small(keyed, cut(gone.distinct()), ["_loom_gone", "_loom_text"], "left_anti", IDS).drop("_loom_gone", "_loom_text")
 
 
 ORACLE = r"""

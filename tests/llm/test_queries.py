@@ -216,6 +216,15 @@ def test_near_duplicates_equal_brute_force(spark):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), find(r.doc_id), find(r.doc_id) == r.doc_id)
 
 
+def test_near_copies_take_no_other_text_of_their_id_along(spark):
+    other = " ".join(f"apple{i} pear{i}" for i in range(30))
+    third = " ".join(f"stone{i} wood{i}" for i in range(30))
+    rows = [(1, PROSE), (None, PROSE + " end"), (None, third), (5, PROSE + " fin"), (5, other), (9, other + " end")]
+    out = neardup.neardup_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert out.columns == ["doc_id", "text"]
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, third), (1, PROSE), (5, other)]
+
+
 def test_blocks_find_links_that_no_star_has(spark, monkeypatch):
     """With tiny blocks, buckets are cut and every pair of parts still meets."""
     monkeypatch.setattr(neardup, "BLOCK", 2)
