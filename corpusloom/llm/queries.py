@@ -18,7 +18,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
-    "op2_language_centroids": langid.op2_language_centroids,
     "op3_mix_min_cost_flow": mixing.ORACLE,
     "op7_minhash_near_dedup": neardup.ORACLE,
 }

@@ -103,6 +103,17 @@ def test_mixing_equals_sql(spark):
     assert sorted(map(key, QUERIES["op3_mix_min_cost_flow"](spark, SMALL).select(*cols).collect())) == sorted(map(key, con.sql(f"select {', '.join(cols)} from ({ORACLE['op3_mix_min_cost_flow']})").fetchall()))
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_each_oracle_is_sql_that_equals_its_query(spark, name):
+    assert isinstance(ORACLE[name], str)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{SMALL}/documents.parquet'")
+    want = con.sql(ORACLE[name])
+    plain = lambda r: repr([round(x, 6) if isinstance(x, float) else x for x in r])
+    got = QUERIES[name](spark, SMALL).select(*want.columns).collect()
+    assert sorted(map(plain, got)) == sorted(map(plain, want.fetchall()))
+
+
 def test_flow_is_maximal_and_repeats_least():
     # pattern 1 can serve both sources; taking it for the second leaves the first its own
     sent = mixing.flow([10, 10, 4], [[0], [0, 1], [1]], [15, 12], 2)
