@@ -1,8 +1,14 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant.
 
-Each document gives five transformed statistics (``Z``).  Their distribution per language and
-source is estimated by the minimum covariance determinant (MCD), and a document is rejected if its
-squared Mahalanobis distance to the estimate of its group exceeds ``CUTOFF``.
+Each document gives five transformed statistics (``Z``), all of which vary among ordinary texts: shares of
+punctuation and of capitals, richness of vocabulary, words in a line, letters in a word.  Their distribution per
+language and source is estimated by the minimum covariance determinant (MCD), and a document is rejected if
+its squared Mahalanobis distance to the estimate of its group, divided by 1 + ``SHORT`` / words (a share of n
+words has a sampling variance in proportion to 1 / n), exceeds ``CUTOFF``.
+
+The fitted scatter decides.  ``FLOOR`` is numerical only.  An axis on which a group hardly varies (a source
+without capitals) is widened to ``NARROW`` times the standard deviation over all rows; a group that is narrow
+on the whole (copies of one text), by the root of its determinant, is judged by what stands in for it.
 
 Scale.  The statistics are one narrow pass over the texts.  The estimates need no row twice: each
 group is summed up over cells of a fixed grid (counts, sums and products of every row; nothing is
@@ -11,8 +17,8 @@ cells, however many rows it has.  Concentration steps then choose among weighted
 
 Defined results: null or empty text has no words and fails the base rules.  Null language or
 source is a value of its own.  A group with fewer than ``min_group`` rows that pass the base rules
-is judged by its language's estimate, then by that of all rows; if even these are fewer, the base
-rules alone decide.  Repeated rows are judged alike.  A column of the input with a name that the
+is judged by its language's estimate, then by that of all rows; if even these are fewer than ``LEAST``,
+the base rules alone decide.  Repeated rows are judged alike.  A column of the input with a name that the
 operator returns is replaced.
 """
 
@@ -27,21 +33,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textkernel as K
-from .common import cut, join_small, small_batches, table
-
-Z = ["z_symbols", "z_upper", "z_repeats", "z_lines", "z_length"]
-#: Least standard deviation that an estimate takes as given, by statistic: most clean texts have no
-#: symbols or repeats at all, and a variance of zero would turn one symbol into an outlier.
-FLOOR = np.array([0.10, 0.10, 0.12, 0.15, 0.12])
-STEP = np.array([0.15, 0.15, 0.15, 0.15, 0.15])
-#: Share of rows that the determinant is taken over, and least rows of a group.
-H, MIN_GROUP = 0.75, 100
-#: The 1 - 1e-5 quantile of chi-square with five degrees of freedom.
-CUTOFF = 30.86
+from .common import cut, drop, join_small, small_batches, table
+
+Z = ["z_marks", "z_upper", "z_vocabulary", "z_line", "z_word"]
+#: Least standard deviation, so that matrices can be inverted; no statistic of ordinary texts comes near it.
+FLOOR = 1e-3
+#: Sides of the grid's cells, near the standard deviations of ordinary texts; sums and products are exact.
+STEP = np.array([0.02, 0.02, 0.015, 0.5, 0.05])
+#: Bounds of the grid: values beyond them share the outermost cells.
+EDGE = np.array([1.6, 1.6, 1.0, 12.0, 12.0])
+#: Share of rows that the determinant is taken over, least rows of a group, least rows at all.
+H, MIN_GROUP, LEAST = 0.75, 200, 50
+NARROW, SHORT = 0.25, 100.0
+#: Beyond the 1 - 1e-11 quantile of chi-square with five degrees of freedom: texts have heavier tails than a normal.
+CUTOFF = 60.0
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>", np.uint8)] = True
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 
 
 def _repeated(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,12 +68,12 @@ def _repeated(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def block_statistics(b: K.Block) -> np.ndarray:
-    """BASE, lines, letters and upper-case letters per document of a block."""
+    """BASE, lines, letters, upper-case letters, distinct words and punctuation marks per document of a block."""
     n = len(b.off) - 1
     at = K.code_points(b.data)
     hasher = K.Hasher(b.data)
     s, e, doc = K.words(b)
-    out = np.zeros((n, 8), np.int64)
+    out = np.zeros((n, 10), np.int64)
     out[:, 0] = K.per_doc(doc, n)
     out[:, 1] = np.bincount(doc, at[e] - at[s], n)
     sym = np.concatenate([[0], np.cumsum(_SYMBOL[b.data])])
@@ -81,21 +92,24 @@ def block_statistics(b: K.Block) -> np.ndarray:
         for i in range(3):
             covered[whole[many] + i] = True
         out[:, 4] = np.bincount(doc[covered], minlength=n)
+    out[:, 8] = out[:, 0] - np.bincount(doc[_repeated(h, doc)[1]], minlength=n)
     d = b.data
     after = np.concatenate([[0], d[:-1]]) == 0xC3  # Latin-1 letters in UTF-8
     up = ((d >= 65) & (d <= 90)) | (after & (d >= 0x80) & (d <= 0x9E))
     any_case = up | ((d >= 97) & (d <= 122)) | (after & (d >= 0x9F) & (d <= 0xBF))
-    for k, x in ((6, any_case), (7, up)):
+    for k, x in ((6, any_case), (7, up), (9, _MARK[d])):
         c = np.concatenate([[0], np.cumsum(x)])
         out[:, k] = c[b.off[1:]] - c[b.off[:-1]]
     return out
 
 
 def transform(t: np.ndarray) -> np.ndarray:
-    """The vectors Z: angles of shares, which even out their variance, and log of the mean word."""
-    words, chars, symbols, dup, repeat, lines, letters, upper = t.T.astype(float)
+    """The vectors Z: angles of shares, which even out their variance, and logarithms of means."""
+    words, chars, _, _, _, lines, letters, upper, distinct, marks = t.T.astype(float)
     angle = lambda a, b: np.arcsin(np.sqrt(np.minimum(1, a / np.maximum(b, 1))))
-    return np.stack([angle(symbols, words), angle(upper, letters), angle(repeat, words), angle(dup, lines), np.log(np.maximum(1, chars / np.maximum(words, 1)))], 1)
+    mean = lambda a, b: np.log(np.maximum(1, a / np.maximum(b, 1)))
+    vocabulary = np.log(np.maximum(distinct, 1)) / np.log(np.maximum(words, 2))
+    return np.stack([angle(marks, chars), angle(upper, letters), vocabulary, mean(words, lines), mean(chars, words)], 1)
 
 
 def statistics(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -110,7 +124,7 @@ def statistics(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         K.own("quality")
         for batch in batches:
             found = [block_statistics(b) for b in K.blocks(batch.column(batch.num_columns - 1))]
-            t = np.concatenate(found) if found else np.zeros((0, 8), np.int64)
+            t = np.concatenate(found) if found else np.zeros((0, 10), np.int64)
             z = transform(t)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array(t[:, i]) for i in range(5)), *(pa.array(z[:, i]) for i in range(5))],
@@ -155,7 +169,7 @@ def mcd(n: np.ndarray, sums: np.ndarray, prods: np.ndarray, h: float = H, starts
     """
     p = sums.shape[1]
     mean, total = sums / n[:, None], n.sum()
-    most, floor = h * total, np.diag(FLOOR[:p] ** 2)
+    most, floor = h * total, np.eye(p) * FLOOR**2
     rng = np.random.default_rng(seed)
 
     def estimate(share):
@@ -176,7 +190,8 @@ def mcd(n: np.ndarray, sums: np.ndarray, prods: np.ndarray, h: float = H, starts
 
     by = [np.argsort(mean[:, j], kind="stable") for j in range(p)]
     median = np.array([mean[o[np.searchsorted(np.cumsum(n[o]), total / 2)], j] for j, o in enumerate(by)])
-    first = [(median, floor * 4)]
+    spread = np.average((mean - median) ** 2, axis=0, weights=n)
+    first = [(median, np.diag(spread) + floor)]
     for _ in range(starts if len(n) > 1 else 0):
         own = rng.choice(len(n), p + 1, p=n / total)
         first.append((mean[own].mean(0), np.cov(mean[own].T, bias=True) + floor))
@@ -206,7 +221,7 @@ PAIRS = [(i, j) for i in range(len(Z)) for j in range(i, len(Z))]
 
 def cells(stats: DataFrame, groups: list[str]) -> DataFrame:
     """Per group and cell of the grid: rows, sums and products over all rows that pass the base rules."""
-    key = [F.floor(F.least(F.col(c), F.lit(4.0)) / F.lit(float(s))).cast("int").alias(f"c{i}") for i, (c, s) in enumerate(zip(Z, STEP, strict=True))]
+    key = [F.floor(F.least(F.col(c), F.lit(float(m))) / F.lit(float(s))).cast("int").alias(f"c{i}") for i, (c, s, m) in enumerate(zip(Z, STEP, EDGE, strict=True))]
     return (
         stats.filter(~base_failed())
         .groupBy(*groups, *key)
@@ -218,49 +233,70 @@ def cells(stats: DataFrame, groups: list[str]) -> DataFrame:
     )
 
 
-def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
+def _fit(pdf: pd.DataFrame, overall: np.ndarray | None = None) -> pd.DataFrame:
+    """Centre, inverse scatter and standard deviations of a group, and whether it is narrow beside the overall ones."""
     pdf = pdf.sort_values([f"c{i}" for i in range(len(Z))])
     n, sums = pdf["n"].to_numpy(float), pdf[[f"s{i}" for i in range(len(Z))]].to_numpy()
     prods = np.zeros((len(pdf), len(Z), len(Z)))
     for i, j in PAIRS:
         prods[:, i, j] = prods[:, j, i] = pdf[f"q{i}{j}"]
     centre, scatter = mcd(n, sums, prods)
-    return pd.DataFrame([{"level": pdf["level"].iloc[0], "g1": pdf["g1"].iloc[0], "g2": pdf["g2"].iloc[0], "centre": centre, "inverse": np.linalg.inv(scatter).ravel()}])
+    narrow = False
+    if overall is not None:
+        narrow = bool(np.linalg.slogdet(scatter)[1] / 2 < np.log(NARROW * overall).sum())
+        scatter = scatter + np.diag(np.maximum((NARROW * overall) ** 2 - np.diag(scatter), 0))
+    first = pdf.iloc[0]
+    return pd.DataFrame([{"level": first["level"], "g1": first["g1"], "g2": first["g2"], "centre": centre, "inverse": np.linalg.inv(scatter).ravel(), "deviation": np.sqrt(np.diag(scatter)), "narrow": narrow}])
+
+
+FITTED = "level int, g1 string, g2 string, centre array<double>, inverse array<double>, deviation array<double>, narrow boolean"
 
 
 def estimates(stats: DataFrame, groups: list[str], min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per group: centre and inverse scatter, of the group or of what stands in for it."""
+    """One row per group: centre and inverse scatter, of the group or of what stands in for it; level 2, 1 or 0 tells which."""
     a, b = groups
     fine = cut(cells(stats, groups).select(F.to_json(F.struct(a)).alias("g1"), F.to_json(F.struct(b)).alias("g2"), "*").drop(a, b))
     inner = [c for c in fine.columns if c[0] == "c"]
     sums = [F.sum(c).alias(c) for c in fine.columns if c[0] in "nsq"]
+    order = ["level", *fine.columns]
     none = F.lit(None).cast("string")
-    coarse = fine.groupBy("g1", *inner).agg(*sums)
-    levels = [fine.select(F.lit(2).alias("level"), *fine.columns), coarse.select(F.lit(1).alias("level"), "g1", none.alias("g2"), *inner, *fine.columns[2 + len(inner) :]), fine.groupBy(*inner).agg(*sums).select(F.lit(0).alias("level"), none.alias("g1"), none.alias("g2"), *inner, *fine.columns[2 + len(inner) :])]
-    every = levels[0].unionByName(levels[1]).unionByName(levels[2])
-    large = every.groupBy("level", "g1", "g2").agg(F.sum("n").alias("rows")).filter(F.col("rows") >= min_group)
-    on = [every[c].eqNullSafe(large[c]) for c in ("level", "g1", "g2")]
-    fitted = every.join(large, on[0] & on[1] & on[2], "left_semi").groupBy("level", "g1", "g2").applyInPandas(_fit, "level int, g1 string, g2 string, centre array<double>, inverse array<double>")
-    fitted = cut(fitted)
-    take = lambda k, *on: fitted.filter(F.col("level") == k).select(*on, F.col("centre").alias(f"m{k}"), F.col("inverse").alias(f"v{k}"))
+    levels = {
+        0: fine.groupBy(*inner).agg(*sums).withColumns({"level": F.lit(0), "g1": none, "g2": none}),
+        1: fine.groupBy("g1", *inner).agg(*sums).withColumns({"level": F.lit(1), "g2": none}),
+        2: fine.withColumn("level", F.lit(2)),
+    }
+
+    def fit(rows: DataFrame, least: int, overall: np.ndarray | None) -> DataFrame:
+        large = rows.groupBy("level", "g1", "g2").agg(F.sum("n").alias("rows")).filter(F.col("rows") >= least)
+        on = [rows[c].eqNullSafe(large[c]) for c in ("level", "g1", "g2")]
+        return cut(rows.join(large, on[0] & on[1] & on[2], "left_semi").groupBy("level", "g1", "g2").applyInPandas(lambda pdf: _fit(pdf, overall), FITTED))
+
+    whole = fit(levels[0].select(*order), LEAST, None)
+    found = whole.select("deviation").first()  # one row at most
+    overall = np.array(found[0]) if found else None
+    fitted = fit(levels[1].select(*order).unionByName(levels[2].select(*order)), min_group, overall)
+    every = whole.unionByName(fitted.filter(~F.col("narrow")))
+    take = lambda k, *on: every.filter(F.col("level") == k).select(*on, F.struct(F.lit(k).alias("level"), "centre", "inverse").alias(f"m{k}"))
     out = (
         fine.select("g1", "g2").distinct().withColumn("one", F.lit(0))
         .join(take(2, "g1", "g2"), ["g1", "g2"], "left")
         .join(take(1, "g1"), ["g1"], "left")
         .join(take(0, F.col("level").alias("one")), ["one"], "left")
-    )
-    return out.select("g1", "g2", F.coalesce("m2", "m1", "m0").alias("centre"), F.coalesce("v2", "v1", "v0").alias("inverse"))
+    )
+    out = cut(out.select("g1", "g2", F.coalesce("m2", "m1", "m0").alias("m")).select("g1", "g2", "m.level", "m.centre", "m.inverse"))
+    drop(fine, whole, fitted)
+    return out
 
 
 def judge(stats: DataFrame, fitted: DataFrame, groups: list[str], cutoff: float = CUTOFF) -> DataFrame:
-    """Adds base_failed, distance (squared; null without an estimate) and kept."""
+    """Adds base_failed, distance (squared, allowing for length; null without an estimate) and kept."""
     a, b = groups
     keyed = stats.withColumn("g1", F.to_json(F.struct(a))).withColumn("g2", F.to_json(F.struct(b)))
-    joined = join_small(keyed, fitted, ["g1", "g2"])
+    joined = join_small(keyed, fitted.drop("level"), ["g1", "g2"])
     p = len(Z)
     x = [F.col(c) - F.col("centre")[i] for i, c in enumerate(Z)]
     d2 = sum((x[i] * x[j] * F.col("inverse")[i * p + j] * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0))
-    out = joined.withColumn("base_failed", base_failed()).withColumn("distance", d2)
+    out = joined.withColumn("base_failed", base_failed()).withColumn("distance", d2 / (1 + F.lit(SHORT) / F.greatest("n_words", F.lit(1))))
     return out.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).drop("g1", "g2", "centre", "inverse")
 
 
@@ -273,7 +309,9 @@ def op1_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the estimates keep, with the columns of docs."""
-    fitted = estimates(cut(statistics(docs, ["lang", "source"])), ["lang", "source"])
+    stats = cut(statistics(docs, ["lang", "source"]))
+    fitted = estimates(stats, ["lang", "source"])
+    drop(stats)
     inner = docs.toDF(*[f"d{i}" for i in range(len(docs.columns))])  # so that no name clashes
     at = {c: f"d{i}" for i, c in enumerate(docs.columns)}
     stats = statistics(inner, inner.columns, at["text"])
