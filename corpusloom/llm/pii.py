@@ -1,17 +1,25 @@
 """Personal data by information-theoretic sanitisation, in DataFrame functions only.
 
-Protected entities are what four patterns find: mail and IP addresses, card and phone numbers.  Terms
-(runs of letters and digits) near an entity may reveal it even where it is removed.  How strongly is
-estimated from the corpus: with p(e) the share of distinct texts that hold entity e and p(e|t) that among
-texts that hold term t, the disclosure of e by t is PMI(e, t) / IC(e) = 1 - log p(e|t) / log p(e), the
-share of e's information content that t gives away.  A term whose disclosure of some entity is at
-least ``DISCLOSED`` is generalised to a label, from ``REMOVED`` on removed, wherever it stands.
-
-Scale.  One pass finds entities; all that follows is narrow.  Co-occurrence counts texts (exact copies
-once) in which the term stands within ``CONTEXT`` code points of the entity, at least ``SUPPORT``.  A bound that
-needs no text drops nearly all terms first: documents that hold t near any entity already limit
+Protected entities are what five patterns find: mail and IP addresses, card and phone numbers, and secrets
+(long strings of letters and digits that mix and hold ``SECRET_BITS`` bits by their own characters' frequencies).
+Each mention names several entities: its kind, its value, and the groups it belongs to (a mail domain and holder,
+a network, a card's issuer, a phone's exchange).  Terms, free-standing words beside a mention, may reveal
+an entity even where it is removed.  How strongly is estimated from the corpus: with p(e) the share of
+distinct texts that hold entity e, and p(e|t) = (n_et + p(e)) / (n_t + 1) the share, smoothed by one text that
+is like any other, of the n_t texts with term t in which t stands beside e, the disclosure of e by t is
+PMI(e, t) / IC(e) = 1 - log p(e|t) / log p(e): the share of e's information content that t gives away.
+A term whose disclosure of some entity is at least ``DISCLOSED`` is generalised to a label, from ``REMOVED`` on
+removed, wherever it stands.
+
+Beside means wholly within ``CONTEXT`` code points of a mention, on either side; that is what co-occurrence is
+here, so a name that stands further away is not found.  Terms have ``SHORTEST`` code points or more, and have to
+stand beside an entity in ``SUPPORT`` distinct texts.  A word that is part of a mention is no term.
+
+Scale.  One pass finds entities; all that follows is narrow.  Numbers of texts count exact copies once.  A bound
+that needs no text drops nearly all terms first: texts that hold t near any entity already limit
 p(e|t) from above.  Only what is left is counted over all documents, through a join that is broadcast
-if a count allows it.  Groups are partially aggregated; nothing is collected.
+if a count allows it.  Groups are partially aggregated; nothing is collected.  A text is cut into pieces once,
+and each mention looks at four of them, so very many mentions cost no more than their number.
 
 Defined results: null text counts as empty.  Positions are code points, end exclusive.  Rows that agree
 in doc_id and text get the same spans.  Term spans that touch an entity are dropped, the entity stays.
@@ -19,6 +27,8 @@ in doc_id and text get the same spans.  Term spans that touch an entity are drop
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,28 +41,43 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "secret": r"(?<![A-Za-z0-9_])[A-Za-z0-9_]{20,}+",
 }
+BASE = ("email", "ip", "card", "phone")
 #: What a text must hold for its pattern to be tried.
-NEEDS = {"email": "contains(t, '@')", "ip": "t rlike '[0-9][.][0-9]'", "card": "t rlike '[0-9]'", "phone": "contains(t, '+')"}
+NEEDS = {"email": "contains(t, '@')", "ip": "t rlike '[0-9][.][0-9]'", "card": "t rlike '[0-9]'", "phone": "contains(t, '+')", "secret": "t rlike '(?<![A-Za-z0-9_])[A-Za-z0-9_]{20}'"}
 VALID = {
     "email": "true",
     "ip": "forall(split(x.v, '[.]'), p -> coalesce(try_cast(p as bigint), 999) <= 255)",
     "card": "length(digits(x.v)) between 13 and 19 and luhn(x.v)",
     "phone": "length(digits(x.v)) between 9 and 15",
+    "secret": "size(regexp_extract_all(x.v, '[0-9]+', 0)) >= 3 and length(regexp_replace(x.v, '[^A-Za-z]', '')) >= 3 and bits(x.v) >= SECRET_BITS",
+}
+#: Entities that a mention x names, besides its kind.
+NAMES = {
+    "email": "lower(x.v), concat('@', lower(substring_index(x.v, '@', -1))), concat('=', regexp_replace(lower(substring_index(x.v, '@', 1)), '[^a-z]', ''))",
+    "ip": "x.v, concat('/', substring_index(x.v, '.', 3))",
+    "card": "digits(x.v), concat('/', left(digits(x.v), 6))",
+    "phone": "digits(x.v), concat('/', left(digits(x.v), length(digits(x.v)) - 4))",
+    "secret": "x.v",
 }
-TERM = r"[\p{L}\p{N}]+"
-CONTEXT, SUPPORT, DISCLOSED, REMOVED, SHORTEST = 120, 3, 0.95, 0.98, 4
+#: A word between blanks, with nothing but marks of quotation, brackets and punctuation on its sides.
+TERM = r"(?<![^\s\"'“”„«»‘’(\[{])[\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+(?=[.,;:!?…\"'“”«»‘’)\]}]*+(?:\s|$))"
+CONTEXT, SUPPORT, DISCLOSED, REMOVED, SHORTEST = 120, 3, 0.9, 0.98, 4
+SECRET_BITS = 60
 CHUNK = 256
-LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
+LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "secret": "[SECRET]", "term": "[TERM]"}
 
 
 def _sql(text: str) -> str:
-    """Spell out the two shorthands digits(x) and luhn(x)."""
+    """Spell out the shorthands digits(x), luhn(x) and bits(x), the information content of a string by its own characters' frequencies."""
     digits = "regexp_replace({0}, '[^0-9]', '')"
     d = digits.format("x.v")
     at = f"cast(substring({d}, length({d}) - i, 1) as int)"
     luhn = f"aggregate(sequence(0, length({d}) - 1), 0, (s, i) -> s + CASE WHEN i % 2 = 0 THEN {at} WHEN {at} > 4 THEN 2 * {at} - 9 ELSE 2 * {at} END) % 10 = 0"
-    return text.replace("luhn(x.v)", luhn).replace("digits(x.v)", d)
+    signs = ", ".join(repr(c) for c in string.ascii_letters + string.digits + "_")
+    bits = f"aggregate(filter(transform(array({signs}), c -> length(x.v) - length(replace(x.v, c, ''))), k -> k > 0), 0D, (a, k) -> a - k * log2(k / length(x.v)))"
+    return text.replace("luhn(x.v)", luhn).replace("digits(x.v)", d).replace("bits(x.v)", bits).replace("SECRET_BITS", str(SECRET_BITS))
 
 
 def located(text: str, pattern: str) -> Column:
@@ -84,43 +109,62 @@ def find_entities(df: DataFrame, text: str = "text") -> DataFrame:
     return out.select(*keep, "h", *PATTERNS, "t")
 
 
-def _entity(kind: str) -> str:
-    """Name of an entity, from a span x: numbers by their digits, the rest in lower case."""
-    value = "regexp_replace(x.v, '[^0-9]', '')" if kind in ("card", "phone") else "lower(x.v)"
-    return f"transform({kind}, x -> struct(concat('{kind}:', {value}) as entity, x.s as s, x.e as e))"
+def _named(kind: str) -> str:
+    """Mentions of a kind as (entities, s, e)."""
+    names = f"array_distinct(concat(array('{kind}'), transform(array({_sql(NAMES[kind])}), n -> concat('{kind}:', n))))"
+    return f"transform({kind}, x -> struct({names} as entities, x.s as s, x.e as e))"
 
 
 def mentions(found: DataFrame) -> DataFrame:
-    """(h, entity, terms): per mention, the distinct terms within CONTEXT code points on the same side of it."""
-    each = found.filter(" or ".join(f"size({k}) > 0" for k in PATTERNS)).select("h", "t", F.explode(F.expr(f"concat({', '.join(map(_entity, PATTERNS))})")).alias("m"))
-    left = F.expr(f"substring(t, greatest(m.s - {CONTEXT}, 0) + 1, least(m.s, {CONTEXT}))")
-    right = F.expr(f"substring(t, m.e + 1, {CONTEXT})")
-    p = TERM.replace("\\", "\\\\")
-    terms = lambda c: F.expr(f"regexp_extract_all(lower({c}), '{p}', 0)")
-    return each.withColumn("l", left).withColumn("r", right).select(
-        "h", "m.entity", F.array_distinct(F.filter(F.concat(terms("l"), terms("r")), lambda x: F.length(x) >= SHORTEST)).alias("terms")
-    )
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(h, entities, terms): per mention, the entities it names and the distinct terms wholly within CONTEXT code points of it."""
+    c = CONTEXT
+    # the text in pieces of CONTEXT code points: what stands beside a mention lies in two of them on either side
+    piece = lambda i: f"coalesce(get(z.g, {i}), '')"
+    before, after = f"concat({piece(f'm.s div {c} - 1')}, {piece(f'm.s div {c}')})", f"concat({piece(f'm.e div {c}')}, {piece(f'm.e div {c} + 1')})"
+    until = f"(m.s % {c} + CASE WHEN m.s >= {c} THEN {c} ELSE 0 END)"
+    left = f"substring({before}, greatest({until} - {c}, 0) + 1, least({until}, {c}))"
+    right = f"substring({after}, m.e % {c} + 1, {c})"
+    # a word that the window cuts is none
+    left = f"CASE WHEN m.s > {c} THEN regexp_replace({left}, '^\\\\S+', '') ELSE {left} END"
+    right = f"CASE WHEN m.e + {c} < z.n THEN regexp_replace({right}, '\\\\S+$', '') ELSE {right} END"
+    every = f"concat({', '.join(map(_named, PATTERNS))})"
+    beside = f"transform(array(struct(regexp_extract_all(t, '(?s).{{1,{c}}}', 0) as g, length(t) as n)), z -> transform({every}, m -> struct(m.entities as entities, {left} as l, {right} as r)))[0]"
+    each = found.filter(" or ".join(f"size({k}) > 0" for k in PATTERNS)).select("h", F.explode(F.expr(beside)).alias("m"))
+    terms = lambda side: F.regexp_extract_all(F.lower(f"m.{side}"), F.lit(TERM), F.lit(0))
+    return each.select("h", "m.entities", F.array_distinct(F.filter(F.concat(terms("l"), terms("r")), lambda x: F.length(x) >= SHORTEST)).alias("terms"))
+
+
+def disclosures(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, n_et, n_e, n_near, total) of each pair with enough support, and (h, entities, terms) per mention, both written."""
+    near = cut(mentions(found))
+    pairs = near.select("h", F.explode("entities").alias("entity"), "terms").select("h", "entity", F.explode("terms").alias("term")).distinct()
+    by_entity = near.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= SUPPORT)
+    around = near.select("h", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    total = found.select("h").distinct().count()
+    return cut(both.join(by_entity, "entity").join(around, "term").withColumn("total", F.lit(total))), near
+
+
+def disclosure(n_t: str) -> Column:
+    """Share of an entity's information content that a term in n_t texts gives away."""
+    p = F.col("n_e") / (F.col("total") + 1)
+    return 1 - F.log(F.least((F.col("n_et") + p) / (F.col(n_t) + 1), F.lit(1.0))) / F.log(p)
+
+
+def disclosing_terms(docs: DataFrame, found: DataFrame, least: float = DISCLOSED) -> tuple[DataFrame, DataFrame]:
     """(term, disclosure), and the documents (doc_id, h, term) that hold one.
 
     found is the written result of find_entities on docs (doc_id, text).
     """
-    near = cut(mentions(found).select("h", "entity", F.explode("terms").alias("term")).distinct())
-    by_entity = near.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    both = near.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= SUPPORT)
-    around = near.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    total = found.select("h").distinct().count()
-    disclosure = lambda n: 1 - F.log(F.least(F.col("n_et") / F.col(n), F.lit(1.0))) / F.log(F.col("n_e") / F.lit(float(max(total, 2) + 1)))
-    candidates = both.join(by_entity, "entity").join(around, "term").filter(disclosure("n_near") >= DISCLOSED)
-    candidates = cut(candidates.select("entity", "term", "n_et", "n_e"))
+    pairs, near = disclosures(found)
+    candidates = cut(pairs.filter(disclosure("n_near") >= least).drop("n_near"))
     wanted = candidates.select("term").distinct()
-    words = docs.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.array_distinct(F.split(F.lower("text"), f"{TERM.replace('[', '[^')}"))).alias("term"))
-    holders = cut(join_small(words, wanted, ["term"], "left_semi")) if candidates.limit(1).count() else words.limit(0)
+    words = docs.select("doc_id", F.xxhash64("text").alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    holders = cut(join_small(words, wanted, ["term"], "left_semi") if candidates.limit(1).count() else words.limit(0))
     counts = holders.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    terms = cut(candidates.join(counts, "term").withColumn("d", disclosure("n_t")).groupBy("term").agg(F.max("d").alias("disclosure")).filter(F.col("disclosure") >= DISCLOSED))
-    drop(near, candidates)
+    terms = candidates.join(counts, "term").withColumn("d", disclosure("n_t")).groupBy("term").agg(F.max("d").alias("disclosure"))
+    terms = cut(terms.filter(F.col("disclosure") >= least))
+    drop(near, pairs, candidates)
     return terms, holders
 
 
@@ -137,11 +181,11 @@ def term_spans(docs: DataFrame, terms: DataFrame, holders: DataFrame) -> DataFra
     return rows.select("doc_id", "h", spans.alias("term")).dropDuplicates(["doc_id", "h"])
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, least: float = DISCLOSED) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, h, the spans (s, e, v) of each kind in PATTERNS, and of terms."""
     narrow = docs.select("doc_id", "text")
     found = cut(find_entities(narrow).withColumn("t", F.when(F.expr(" or ".join(f"size({k}) > 0" for k in PATTERNS)), F.col("t"))).drop("text"))
-    terms, holders = disclosing_terms(narrow, found)
+    terms, holders = disclosing_terms(narrow, found, least)
     base = found.drop("t")
     none = F.expr("cast(array() as array<struct<s:int,e:int,v:string>>)")
     if not terms.limit(1).count():
@@ -176,11 +220,13 @@ def _joined(kinds: list[str]) -> Column:
 
 def op9_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents"))
-    kinds = list(PATTERNS)
+    kinds = [*PATTERNS, "term"]
     return found.select(
         "doc_id",
-        *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
-        F.sha2(_joined(kinds), 256).alias("base_sha256"),
-        _joined([*kinds, "term"]).alias("spans"),
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in BASE],
+        F.sha2(_joined(list(BASE)), 256).alias("base_sha256"),
+        _joined(kinds).alias("spans"),
+        F.size("secret").cast("long").alias("n_secret"),
         F.size("term").cast("long").alias("n_term"),
+        sum((F.size(k) for k in kinds), F.lit(0)).cast("long").alias("n_spans"),
     )
