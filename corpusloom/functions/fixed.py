@@ -26,7 +26,7 @@ KINDS = [
     ("water (outage|main|boil|contamination)|boil[- ]water", "water outage"),
     ("outage|blackout", "power outage"),
     ("house fire|structure fire|apartment fire|building fire|residential fire", "structure fire"),
-    ("wildfire|brush fire|forest fire|grass fire|(^|[^a-z0-9_])fires?($|[^a-z0-9_])|blaze", "wildfire"),
+    ("wildfire|brush fire|forest fire|grass fire|\\bfires?\\b|blaze", "wildfire"),
     ("flood|heavy rain", "flooding"),
     ("tornado", "tornado"),
     ("hurricane|tropical storm|typhoon|cyclone", "hurricane"),
@@ -55,8 +55,18 @@ KIND_SYNONYMS = {
 PLACE_GENERIC = "county counties city town area areas region island islands district northwest southeast northeast southwest eastern western northern southern north south east west central greater metro downtown and of the near valley".split()
 
 # States and their postal codes.
-STATES = """AL alabama, AK alaska, AZ arizona, AR arkansas, CA california, CO colorado, CT connecticut, DE delaware, DC district of columbia, FL florida, GA georgia, HI hawaii, ID idaho, IL illinois, IN indiana, IA iowa, KS kansas, KY kentucky, LA louisiana, ME maine, MD maryland, MA massachusetts, MI michigan, MN minnesota, MS mississippi, MO missouri, MT montana, NE nebraska, NV nevada, NH new hampshire, NJ new jersey, NM new mexico, NY new york, NC north carolina, ND north dakota, OH ohio, OK oklahoma, OR oregon, PA pennsylvania, RI rhode island, SC south carolina, SD south dakota, TN tennessee, TX texas, UT utah, VT vermont, VA virginia, WA washington, WV west virginia, WI wisconsin, WY wyoming, PR puerto rico, GU guam, VI virgin islands, AS american samoa, MP northern mariana islands"""
-STATE_NAMES = {x.split(" ", 1)[0]: x.split(" ", 1)[1] for x in STATES.split(", ")}
+STATE_NAMES = {
+    "AL": "alabama", "AK": "alaska", "AZ": "arizona", "AR": "arkansas", "CA": "california", "CO": "colorado",
+    "CT": "connecticut", "DE": "delaware", "DC": "district of columbia", "FL": "florida", "GA": "georgia", "HI": "hawaii",
+    "ID": "idaho", "IL": "illinois", "IN": "indiana", "IA": "iowa", "KS": "kansas", "KY": "kentucky",
+    "LA": "louisiana", "ME": "maine", "MD": "maryland", "MA": "massachusetts", "MI": "michigan", "MN": "minnesota",
+    "MS": "mississippi", "MO": "missouri", "MT": "montana", "NE": "nebraska", "NV": "nevada", "NH": "new hampshire",
+    "NJ": "new jersey", "NM": "new mexico", "NY": "new york", "NC": "north carolina", "ND": "north dakota", "OH": "ohio",
+    "OK": "oklahoma", "OR": "oregon", "PA": "pennsylvania", "RI": "rhode island", "SC": "south carolina", "SD": "south dakota",
+    "TN": "tennessee", "TX": "texas", "UT": "utah", "VT": "vermont", "VA": "virginia", "WA": "washington",
+    "WV": "west virginia", "WI": "wisconsin", "WY": "wyoming", "PR": "puerto rico", "GU": "guam", "VI": "virgin islands",
+    "AS": "american samoa", "MP": "northern mariana islands",
+}
 
 # Cues that keep a post, and cues that set one aside, by reason.
 _NUM = "(?:\\d+|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|fifteen|twenty|twenty-five|thirty|fifty|a hundred)"

@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once; a lambda would compute what it names again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def half_up(x: Column) -> Column:
     """Nearest integer, halves towards positive infinity."""
     return F.floor(x + F.lit(0.5)).cast("bigint")
@@ -94,8 +99,8 @@ def norm(v: Column) -> Column:
 
 def normalise(v: Column) -> Column:
     """F61."""
-    n = norm(v)
-    return F.when(n > 0, F.transform(v, lambda x: x.cast("double") / n)).otherwise(F.transform(v, lambda x: x.cast("double")))
+    wide = F.transform(v, lambda x: x.cast("double"))
+    return F.when(v.isNotNull(), let(F.struct(wide.alias("v"), norm(v).alias("n")), lambda s: F.when(s["n"] > 0, F.transform(s["v"], lambda x: x / s["n"])).otherwise(s["v"])))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -106,9 +111,9 @@ def cosine(a: Column, b: Column) -> Column:
 def quantise(v: Column) -> Column:
     """Struct of scale and values in -127 to 127."""
     top = F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
-    scale = F.when(top > 0, top / 127).otherwise(F.lit(1.0))
-    return F.struct(scale.alias("scale"), F.transform(v, lambda x: F.greatest(F.lit(-127), F.least(F.lit(127), half_up(x.cast("double") / scale))).cast("tinyint")).alias("q"))
+    value = lambda x, scale: F.greatest(F.lit(-127), F.least(F.lit(127), half_up(x.cast("double") / scale))).cast("tinyint")
+    return let(F.when(top > 0, top / 127).otherwise(F.lit(1.0)), lambda scale: F.struct(scale.alias("scale"), F.transform(v, lambda x: value(x, scale)).alias("q")))
 
 
 def dequantise(q: Column) -> Column:
-    return normalise(F.transform(q["q"], lambda x: x.cast("double") * q["scale"]))
+    return let(q, lambda s: normalise(F.transform(s["q"], lambda x: x.cast("double") * s["scale"])))

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
+from .mathfn import let as _let
 
 _WORD = "[a-z0-9_]"
 
@@ -28,11 +29,6 @@ def tokenize(text: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with value computed once; a lambda would compute what it names again for each element."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def ngrams(tokens: Column, low: int = 2, high: int = 4, stop: list[str] | None = None) -> Column:
     """All n-grams that neither begin nor end with a stop word and hold something besides stop words and numbers.
 

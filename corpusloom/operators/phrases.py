@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mathfn as M
 from ..functions import text as X
-from .graph import components
+from .graph import components, cut
 
 
 def phrase_uses(posts: DataFrame, low: int = 2, high: int = 4, stop: list[str] | None = None) -> DataFrame:
@@ -17,11 +17,44 @@ def phrase_uses(posts: DataFrame, low: int = 2, high: int = 4, stop: list[str] |
     return own.select("post_id", "author_id", "created", "day", F.explode(grams).alias("phrase"))
 
 
+def by_author(uses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per phrase and author: posts, and their least key, of which created and post_id are read off again.
+
+    uses has a row per post and phrase, so posts are rows.  Times and ids that are numbers make one decimal that
+    orders like (created, post_id): a buffer of fixed size, so the rows are hashed and not sorted.
+    """
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    kinds = dict(uses.dtypes)
+    place = {k: F.unix_micros("created") if k == "timestamp" else F.unix_date("created") if k == "date" else F.col("created") for k in [kinds["created"]]}[kinds["created"]]
+    if kinds["created"] in whole | {"date", "timestamp"} and kinds["post_id"] in whole:
+        key = place.cast("decimal(20,0)") * F.lit(str(2**63)).cast("decimal(19,0)") + F.col("post_id").cast("decimal(20,0)")
+        key = key.cast("decimal(38,0)")
+    else:
+        key = F.struct("created", "post_id")
+    return uses.groupBy(*keys, "phrase", "author_id").agg(F.count("*").alias("posts"), F.min(key).alias("key"), F.min("created").alias("created"))
+
+
 def mine(uses: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> DataFrame:
-    """Phrases that enough distinct authors use, with posts and the earliest use."""
-    out = uses.groupBy(*keys, "phrase").agg(F.countDistinct("author_id").alias("members"), F.countDistinct("post_id").alias("posts"), F.min(F.struct("created", "post_id", "author_id")).alias("first"))
-    out = out.filter(F.col("members") >= least)
-    return out.select(*keys, "phrase", "members", "posts", F.col("first.created").alias("first_seen"), F.col("first.author_id").alias("first_author"))
+    """Phrases that enough distinct authors use, with posts and the earliest use.
+
+    Authors are counted from one row each; who was first is looked up for the phrases that are left only.
+    """
+    each = cut(by_author(uses, keys))
+    out = each.groupBy(*keys, "phrase").agg(F.count("*").alias("members"), F.sum("posts").alias("posts"), F.min("key").alias("key"), F.min("created").alias("first_seen")).filter(F.col("members") >= least)
+    return each.select(*keys, "phrase", "author_id", "key").join(out.hint("shuffle_hash"), [*keys, "phrase", "key"]).select(*keys, "phrase", "members", "posts", "first_seen", F.col("author_id").alias("first_author"))
+
+
+def widespread(uses: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> DataFrame:
+    """A06 without the earliest use: phrases that enough distinct authors use, with members and posts."""
+    each = uses.groupBy(*keys, "phrase", "author_id").agg(F.count("*").alias("posts"))
+    return each.groupBy(*keys, "phrase").agg(F.count("*").alias("members"), F.sum("posts").alias("posts")).filter(F.col("members") >= least)
+
+
+def widespread_first(uses: DataFrame, least: int = 3) -> DataFrame:
+    """A07 for phrases that enough distinct authors use: uses are read once, what counts the authors is kept."""
+    first = cut(member_first(uses))
+    top = first.groupBy("phrase").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("phrase")
+    return first.join(top.hint("shuffle_hash"), "phrase")
 
 
 def prune_contained(phrases: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
@@ -77,9 +110,11 @@ def families(phrases: DataFrame) -> DataFrame:
 def family_rows(uses: DataFrame, family: DataFrame, least: int = 3) -> DataFrame:
     """Per family the most used variant, posts, people, and the share of posts with that variant."""
     hits = uses.join(family, "phrase")
-    by = hits.groupBy("family", "phrase").agg(F.countDistinct("post_id").alias("n"))
-    top = by.groupBy("family").agg(F.max(F.struct("n", F.struct((-F.length("phrase")).alias("l"), "phrase"))).alias("x"))
-    every = hits.groupBy("family").agg(F.countDistinct("post_id").alias("posts"), F.countDistinct("author_id").alias("people"), F.countDistinct("phrase").alias("variants"))
+    by = hits.groupBy("family", "phrase").agg(F.count("*").alias("n"))
+    top = by.groupBy("family").agg(F.max(F.struct("n", F.struct((-F.length("phrase")).alias("l"), "phrase"))).alias("x"), F.count("*").alias("variants"))
+    posts = hits.select("family", "post_id").distinct().groupBy("family").agg(F.count("*").alias("posts"))
+    people = hits.select("family", "author_id").distinct().groupBy("family").agg(F.count("*").alias("people"))
+    every = posts.join(people, "family")
     out = every.join(top, "family").select("family", F.col("x.col2.phrase").alias("canonical"), "variants", "posts", "people", M.places(F.col("x.n") / F.col("posts"), 2).alias("exact"))
     return out.filter(F.col("people") >= least)
 

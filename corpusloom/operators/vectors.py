@@ -28,22 +28,22 @@ def centroids(members: DataFrame, key: str, vector: str, normal: bool = True) ->
 
 
 def nearest(vectors: DataFrame, targets: DataFrame, vector_id: str, vector: str, target_id: str, centroid: str, k: int, least: float, target_limit: int = STORIES_PER_TASK) -> DataFrame:
-    """The k most similar targets of each vector, at least so similar: (vector_id, target_id, sim).
+    """The k most similar targets of each vector, at least so similar: (vector_id, target_id, sim).
 
     The targets (stories) are counted first; up to target_limit they go to every task as one matrix and
     each Arrow batch is one product.  More of them are dealt out in parts, each part is searched by all
     vectors, and the parts' best are ranked again.
     """
-    n = targets.count()
-    parts = max(1, -(-n // target_limit))
+    rows = targets.select(target_id, centroid).limit(target_limit + 1).collect()
+    parts = 1 if len(rows) <= target_limit else -(-targets.count() // target_limit)
     if parts > 1:
         dealt = targets.withColumn("_part", F.pmod(F.xxhash64(target_id), F.lit(parts)))
         found = None
         for p in range(parts):
-            part = nearest(vectors, dealt.filter(F.col("_part") == p).drop("_part"), vector_id, vector, target_id, centroid, k, least, 10**9)
+            part = nearest(vectors, dealt.filter(F.col("_part") == p).drop("_part"), vector_id, vector, target_id, centroid, k, least, 4 * target_limit)  # parts are uneven
             found = part if found is None else found.unionByName(part)
         return ranked(found, vector_id, [F.desc("sim"), F.asc(target_id)], k)
-    rows = targets.select(target_id, centroid).orderBy(target_id).collect()  # target_limit rows at most
+    rows.sort(key=lambda r: r[0])
     kinds = [vectors.schema[vector_id].dataType.simpleString(), targets.schema[target_id].dataType.simpleString()]
     shape = f"{vector_id} {kinds[0]}, {target_id} {kinds[1]}, sim double"
     ids = [r[0] for r in rows]
@@ -71,16 +71,16 @@ def neighbours(vectors: DataFrame, stories: DataFrame, members: DataFrame | None
     Stories are counted; up to story_limit they go to every task as one matrix, more are dealt out in parts.
     Each Arrow batch is one product and passes on its best k per story only, so pairs are never listed.
     """
-    n = stories.count()
-    parts = max(1, -(-n // story_limit))
+    rows = stories.select("story", "centroid").limit(story_limit + 1).collect()
+    parts = 1 if len(rows) <= story_limit else -(-stories.count() // story_limit)
     if parts > 1:
         dealt = stories.withColumn("_part", F.pmod(F.xxhash64("story"), F.lit(parts)))
-        found = [neighbours(vectors, dealt.filter(F.col("_part") == p).drop("_part"), members, k, least, 10**9) for p in range(parts)]
+        found = [neighbours(vectors, dealt.filter(F.col("_part") == p).drop("_part"), members, k, least, 4 * story_limit) for p in range(parts)]
         out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
         return out
-    rows = stories.select("story", "centroid").orderBy("story").collect()  # story_limit rows at most
+    rows.sort(key=lambda r: r[0])
     ids, matrix = [r[0] for r in rows], np.array([r[1] for r in rows], float)
     place = {s: i for i, s in enumerate(ids)}
     unit = vectors.filter(F.col("embedding").isNotNull()).select("vec_id", M.normalise(F.col("embedding")).alias("v"))

@@ -10,7 +10,8 @@ from ..functions import text as X
 from ..functions import timefn as T
 from ..operators import evaluation, evidence, incidents, phrases, stories, vectors
 from ..sources import readers
-from ..sources.readers import table
+from ..operators.graph import cut
+from ..sources.readers import spread, table
 from ..streaming import stream
 from . import staging as S
 from .social import AT
@@ -48,12 +49,12 @@ def query(sql: str | None = None):
 @query(f"WITH {TOKENS} SELECT doc_id, CAST(len(tokens) AS INT) AS n, md5(array_to_string(tokens, ' ')) AS digest FROM tok")
 def tokenize_docs(spark, d):
     """tokens of every document."""
-    t = table(spark, d, "documents").select("doc_id", X.tokenize(F.col("text")).alias("tokens"))
+    t = spread(table(spark, d, "documents")).select("doc_id", X.tokenize(F.col("text")).alias("tokens"))
     return t.select("doc_id", F.size("tokens").alias("n"), F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
 def _uses(spark, d):
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents"))
     posts = docs.select(F.col("doc_id").alias("post_id"), F.col("source").alias("author_id"), F.col("doc_id").alias("created"), F.col("lang").alias("day"), F.lit("tweet").alias("type"), "text")
     return phrases.phrase_uses(posts)
 
@@ -71,15 +72,14 @@ def phrase_mining(spark, d):
 WHERE NOT EXISTS (SELECT 1 FROM top b WHERE b.day = a.day AND length(b.phrase) > length(a.phrase) AND contains(b.phrase, a.phrase) AND b.members >= a.members)""")
 def containment_prune(spark, d):
     """Phrases that no longer one with as many sources contains."""
-    return phrases.prune_contained(phrases.mine(_uses(spark, d), 12)).select("day", "phrase", "members", "posts")
+    return phrases.prune_contained(cut(phrases.widespread(_uses(spark, d), 12))).select("day", "phrase", "members", "posts")
 
 
 @query(f"WITH {TOKENS}, {GRAMS}, top AS (SELECT phrase FROM gram GROUP BY 1 HAVING count(DISTINCT source) >= 10) SELECT phrase, source AS author_id, min(doc_id) AS day FROM gram WHERE phrase IN (SELECT phrase FROM top) GROUP BY 1, 2")
 def phrase_first_use(spark, d):
     """The first document of each source for each widespread phrase."""
     uses = _uses(spark, d).withColumn("day", F.col("created"))
-    top = phrases.mine(uses, 10, ()).select("phrase")
-    return phrases.member_first(uses.join(top, "phrase"))
+    return phrases.widespread_first(uses, 10)
 
 
 @query(f"""WITH {TOKENS}, {GRAMS}, top AS (SELECT phrase FROM gram GROUP BY 1 HAVING count(DISTINCT source) >= 10), f AS (SELECT phrase, source, min(doc_id) AS first FROM gram WHERE phrase IN (SELECT phrase FROM top) GROUP BY 1, 2),
@@ -89,16 +89,15 @@ SELECT g.phrase, g.bucket, CAST(sum(n) OVER (PARTITION BY g.phrase ORDER BY g.bu
 def adoption_curve(spark, d):
     """Sources that have used a phrase by each of seven days."""
     uses = _uses(spark, d).withColumn("day", F.col("created"))
-    top = phrases.mine(uses, 10, ()).select("phrase")
-    first = phrases.member_first(uses.join(top, "phrase")).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("day") % 10).cast("int")))
+    first = phrases.widespread_first(uses, 10).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("day") % 10).cast("int")))
     return phrases.adoption(first, F.lit("2024-01-08").cast("date"))
 
 
 @query()
 def phrase_families(spark, d):
     """The 30 most widespread phrases in families, with the main variant of each."""
-    uses = _uses(spark, d)
-    top = phrases.mine(uses, 3, ()).orderBy(F.desc("members"), F.desc("posts"), "phrase").limit(30).select("phrase")
+    uses = cut(_uses(spark, d))
+    top = phrases.widespread(uses, 3, ()).orderBy(F.desc("members"), F.desc("posts"), "phrase").limit(30).select("phrase")
     return phrases.family_rows(uses, phrases.families(top))
 
 
@@ -107,12 +106,12 @@ m AS (SELECT label, i, avg(x / n.n) AS x FROM v JOIN n USING (vec_id) GROUP BY 1
 SELECT m.label, CAST(i AS INT) AS i, floor(x / l.n * 1e6 + 0.5) / 1e6 AS x FROM m JOIN l ON l.label = m.label""")
 def centroids(spark, d):
     """The centroid of each label, of unit length."""
-    c = vectors.centroids(table(spark, d, "embeddings"), "label", "embedding")
+    c = vectors.centroids(spread(table(spark, d, "embeddings")), "label", "embedding")
     return c.select("label", F.posexplode("centroid").alias("i", "x")).withColumn("x", M.places(F.col("x"), 6))
 
 
 def _stories(spark, d):
-    e = table(spark, d, "embeddings")
+    e = spread(table(spark, d, "embeddings"))
     return e, vectors.centroids(e, "label", "embedding").withColumnRenamed("label", "story")
 
 
@@ -150,7 +149,7 @@ q AS (SELECT vec_id, v, scale, list_transform(v, lambda x: greatest(-127, least(
 SELECT vec_id, CAST(list_sum(list_transform(q, lambda x: abs(x))) AS BIGINT) AS weight, floor(list_cosine_similarity(v, q) * 10000 + 0.5) / 10000 AS similarity FROM q""")
 def quantize_roundtrip(spark, d):
     """vectors in eight bits, and how much of them that keeps."""
-    q = table(spark, d, "embeddings").select("vec_id", "embedding", M.quantise(F.col("embedding")).alias("q"))
+    q = spread(table(spark, d, "embeddings")).select("vec_id", "embedding", M.quantise(F.col("embedding")).alias("q"))
     back = M.cosine(F.col("embedding"), M.dequantise(F.col("q")))
     return q.select("vec_id", F.aggregate("q.q", F.lit(0).cast("bigint"), lambda a, x: a + F.abs(x.cast("bigint"))).alias("weight"), M.places(back, 4).alias("similarity"))
 
@@ -165,13 +164,13 @@ def vector_clusters(spark, d):
 @query()
 def html_text(spark, d):
     """text of every page."""
-    return table(spark, d, "pages").select("page_id", F.md5(X.strip_html(F.col("html"))).alias("digest"))
+    return spread(table(spark, d, "pages")).select("page_id", F.md5(X.strip_html(F.col("html"))).alias("digest"))
 
 
 @query()
 def page_passages(spark, d):
     """Title, language, link and passages of every page."""
-    a = readers.extract_articles(table(spark, d, "pages"))
+    a = readers.extract_articles(spread(table(spark, d, "pages")))
     return a.select("page_id", "canonical", "lang", "title", "extract", F.size("passages").alias("n_passages"), F.array_join("passages", "\n").alias("passages"))
 
 
@@ -247,9 +246,9 @@ def _evidence_tables(spark, d):
     """Benchmark passages as posts, and pages as articles; both dated by their ids within a month."""
     stamp = lambda c: F.timestamp_seconds(F.lit(1704067200) + (F.col(c) * 7919 % 2_592_000))
     posts = table(spark, d, "benchmark").select(F.col("item_id").alias("post_id"), stamp("item_id").alias("created"), "text")
-    pages = readers.extract_articles(table(spark, d, "pages"))
+    pages = readers.extract_articles(spread(table(spark, d, "pages")))
     news = pages.select(F.col("page_id").alias("news_id"), stamp("page_id").alias("published"), stamp("page_id").alias("fetched"), "title", F.lit("").alias("summary"), "passages", "extract")
-    return posts, news
+    return posts, cut(news)  # stored once read, as a news store is
 
 
 @query()
@@ -270,8 +269,8 @@ def asof_evidence(spark, d):
 @query()
 def label_cluster_merge(spark, d):
     """Page titles of similar words as one label."""
-    titles = readers.extract_articles(table(spark, d, "pages")).filter("title <> ''").select(F.substring("title", 1, 60).alias("label"), (F.col("page_id") % 5).alias("day"), F.array("page_id").alias("ids"))
-    out = stories.label_clusters(titles)
+    titles = readers.extract_articles(spread(table(spark, d, "pages"))).filter("title <> ''").select(F.substring("title", 1, 60).alias("label"), (F.col("page_id") % 5).alias("day"), F.array("page_id").alias("ids"))
+    out = stories.label_clusters(cut(titles))
     return out.select("label", F.size("labels").alias("n_labels"), F.size("ids").alias("n_ids"), F.size("days").alias("n_days"))
 
 

@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt out to all cores if it has fewer files than there are cores: one file can't keep more than a few busy.
+
+    For work that costs much more than its rows' transport; tables of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
