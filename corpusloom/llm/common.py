@@ -14,7 +14,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one of fewer files than there are cores is dealt out to all of them."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -23,9 +26,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where it names none."""
+    """The shared folder that the cluster names; a folder of our own only in local mode, where it names none."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         found = f"file://{tempfile.gettempdir()}/checkpoints/{spark.sparkContext.applicationId}"

@@ -106,10 +106,15 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     idf = np.log((1 + frequency[DIM]) / (1 + frequency[:DIM])) + 1
     chosen = bounded_sample(df.select("k", "lang"), "lang", "k", SAMPLE)
     chosen = chosen.select(F.col("k").alias("k_"), F.col("lang").alias("lang_"))
-    rows = df.join(chosen, df["k"].eqNullSafe(chosen["k_"]) & (df["lang"] == chosen["lang_"]), "left_semi")
+    few = chosen.limit(MAX_LANGUAGES * SAMPLE + 1).count() <= MAX_LANGUAGES * SAMPLE
+    if not few:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # SAMPLE ids per language are broadcast, so that no other text is shuffled; of an id that repeats one row is taken
+    rows = df.join(F.broadcast(chosen), df["k"].eqNullSafe(chosen["k_"]) & (df["lang"] == chosen["lang_"]), "left_semi")
+    rows = rows.groupBy("k", "lang").agg(F.min("text").alias("text"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k").head(2 * SAMPLE)  # repeated ids can add rows
+        pdf = pdf.sort_values("k")
         x = np.concatenate([vectors(counts(b), idf) for b in K.blocks(pa.array(pdf["text"]))])
         x = x[np.linalg.norm(x, axis=1) > 0]
         if not len(x):

@@ -34,6 +34,7 @@ from . import textkernel as K
 from .common import cut, drop, small_batches, table
 
 MIN_WORDS = 50
+SALTS = 16
 #: Documents with deletions, and deletions, up to which these are broadcast.
 BROADCAST_DOCS, BROADCAST_RUNS = 100_000, 500_000
 
@@ -142,7 +143,7 @@ def _shortest_runs(ranks: DataFrame, min_words: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             whole = pa.Table.from_batches([*held, batch] if held else [batch]).combine_chunks().to_batches()[0]
-            d, i = whole.column("doc").to_numpy(), whole.column("doc_id").fill_null(-(2**62)).to_pylist()
+            d, i = whole.column("doc").to_numpy(), whole.column("doc_id").to_pylist()
             cutoff = whole.num_rows
             while cutoff and d[cutoff - 1] == d[-1] and i[cutoff - 1] == i[-1]:
                 cutoff -= 1
@@ -161,8 +162,11 @@ def deletions(df: DataFrame, text: str = "text", min_words: int = MIN_WORDS) ->
     """(doc_id, doc, runs): per document with deletions, the runs (line, n) to delete, overlaps included."""
     ranks = suffix_ranks(line_table(df, text), max(1, int(min_words).bit_length() - 1))
     runs = cut(_shortest_runs(ranks, min_words))
-    first = runs.groupBy("n", "a", "b").agg(F.min("pos").alias("least"), F.max("pos").alias("most")).filter("least < most").drop("most")
-    later = runs.join(first, ["n", "a", "b"]).filter("pos > least")
+    # a run that very many documents share is dealt over SALTS keys; its first copy is told to those that have rows
+    dealt = runs.withColumn("salt", F.pmod(F.xxhash64("pos"), F.lit(SALTS)).cast("int"))
+    parts = dealt.groupBy("n", "a", "b", "salt").agg(F.min("pos").alias("least"), F.max("pos").alias("most"))
+    first = parts.groupBy("n", "a", "b").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.collect_set("salt").alias("salts")).filter("least < most")
+    later = dealt.join(first.select("n", "a", "b", "least", F.explode("salts").alias("salt")), ["n", "a", "b", "salt"]).filter("pos > least")
     out = cut(later.groupBy("doc_id", "doc").agg(F.sort_array(F.collect_list(F.struct("line", "n"))).alias("runs")))
     drop(ranks, runs)
     return out

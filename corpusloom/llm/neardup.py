@@ -17,8 +17,9 @@ components is lost.  Components come from
 alternating star contractions on the links.
 
 Defined results: null, empty or blank text has no shingles and stays alone; fewer than k words make
-one shingle of the whole sequence.  Rows that agree in doc_id are one document.  A null doc_id
-never names a component unless nothing else can; such rows are kept if they are alone with null.
+one shingle of the whole sequence.  A null doc_id
+never names a component unless nothing else can; such rows are kept if they are alone with null.  Texts that differ are classes of their own,
+also under one doc_id.
 """
 
 from __future__ import annotations
@@ -246,20 +247,26 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _deal(members: DataFrame) -> DataFrame:
-    """Blocks of each bucket: every class meets every other of its bucket under exactly one key.
+    """Blocks of each bucket in which every two classes of different components meet under exactly one key.
 
-    A bucket of more than BLOCK classes is cut by hash into parts; a key is a pair of parts, and side
-    tells which of the two a class comes from.
+    members has main, the component of the bucket's lead, and outside, how many classes belong to others.  Classes
+    of the main component meet outsiders only, never each other: both are cut by hash into parts, of BLOCK classes
+    and of BLOCK outsiders, and a key is a part of the first (own) and one of the second (other), or two of
+    the second.  So a bucket costs its classes times the parts of its outsiders, not the square of its parts.
+    side tells which of the two a class comes from.
     """
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
-    return (
-        members.withColumn("parts", parts).withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("key", F.xxhash64("band", "value", F.least("own", "other"), F.greatest("own", "other")))
-        .withColumn("side", F.when(F.col("own") > F.col("other"), 1).otherwise(0))
-        .select("key", "side", "band", "cid", "root", "n_shingles", "sig")
-    )
+    out, parts = F.col("root") != F.col("main"), lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("cid"), n).cast("int")
+    rows = members.withColumns({"out": out, "po": parts(F.col("outside")), "pm": parts(F.col("members") - F.col("outside"))})
+    rows = rows.withColumn("own", F.when(F.col("out"), place(F.col("po"))).otherwise(place(F.col("pm"))))
+    key = lambda kind, a, b: F.xxhash64("band", "value", F.lit(kind), a, b)
+    to = lambda n: F.sequence(F.lit(0), n - 1)
+    own = F.col("own")
+    across = lambda: F.transform(to(F.col("pm")), lambda i: F.struct(key(0, i, own).alias("key"), F.lit(1).alias("side")))
+    among = F.transform(to(F.col("po")), lambda i: F.struct(key(1, F.least(i, own), F.greatest(i, own)).alias("key"), F.when(own > i, 1).otherwise(0).alias("side")))
+    inside = F.transform(to(F.col("po")), lambda i: F.struct(key(0, own, i).alias("key"), F.lit(0).alias("side")))
+    dealt = rows.withColumn("at", F.explode(F.when(F.col("out"), F.concat(across(), among)).otherwise(inside)))
+    return dealt.select("at.key", "at.side", "band", "cid", "root", "n_shingles", "sig")
 
 
 def _in_blocks(dealt: DataFrame, grams: bool) -> DataFrame:
@@ -344,7 +351,10 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, keep: tuple[str, ...] = ())
     roots = cut(components(links))
 
     placed = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    mixed = placed.groupBy("band", "value").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("band", "value")
+    main = F.max(F.when(F.col("cid") == F.col("lead"), F.col("root")))  # the lead's component: the star has tied most classes to it
+    mixed = placed.groupBy("band", "value").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), main.alias("main")).filter("r1 <> r2").select("band", "value", "main")
+    outside = placed.join(mixed, ["band", "value"]).filter("root <> main").groupBy("band", "value").agg(F.count("*").alias("outside"))
+    mixed = mixed.join(outside, ["band", "value"])
     dealt = cut(_deal(placed.join(mixed, ["band", "value"]).join(classes.select("cid", "n_shingles", "sig"), "cid")))
     wanted = cut(_in_blocks(dealt, False))
     if wanted.limit(1).count():

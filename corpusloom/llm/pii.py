@@ -65,6 +65,7 @@ NAMES = {
 TERM = r"(?<![^\s\"'“”„«»‘’(\[{])[\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+(?=[.,;:!?…\"'“”«»‘’)\]}]*+(?:\s|$))"
 CONTEXT, SUPPORT, DISCLOSED, REMOVED, SHORTEST = 120, 3, 0.9, 0.98, 4
 SECRET_BITS = 60
+SALTS = 16
 CHUNK = 256
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "secret": "[SECRET]", "term": "[TERM]"}
 
@@ -138,11 +139,15 @@ def disclosures(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(entity, term, n_et, n_e, n_near, total) of each pair with enough support, and (h, entities, terms) per mention, both written."""
     near = cut(mentions(found))
     pairs = near.select("h", F.explode("entities").alias("entity"), "terms").select("h", "entity", F.explode("terms").alias("term")).distinct()
-    by_entity = near.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    by_entity = near.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e")).filter(F.col("n_e") >= SUPPORT)
     both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= SUPPORT)
-    around = near.select("h", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    around = near.select("h", F.explode("terms").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_near")).filter(F.col("n_near") >= SUPPORT)
     total = found.select("h").distinct().count()
-    return cut(both.join(by_entity, "entity").join(around, "term").withColumn("total", F.lit(total))), near
+    # a kind, or a common word, has many rows: either is dealt over SALTS keys
+    salted = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    by = lambda c: F.pmod(F.xxhash64(c), F.lit(SALTS)).cast("int")
+    counted = both.withColumn("salt", by("term")).join(salted(by_entity), ["entity", "salt"]).withColumn("salt", by("entity")).join(salted(around), ["term", "salt"])
+    return cut(counted.select("entity", "term", "n_et", "n_e", "n_near", F.lit(total).alias("total"))), near
 
 
 def disclosure(n_t: str) -> Column:

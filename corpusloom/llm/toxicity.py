@@ -1,8 +1,8 @@
 """Toxicity: Levenshtein automata intersected with a lexicon trie, and scores of context windows.
 
-Learning.  A bounded sample of labelled documents (``SAMPLE`` of each class, those of least hash; the
-only bound here, and only for the fit) gives the lexicon: whole words, and stems that begin longer
-words, chosen one after another by how well they tell toxic documents from others among those that
+Learning.  A bounded sample of labelled documents (``SAMPLE`` of each class, those of least hash) gives the
+lexicon, up to ``TERMS`` terms that cover the toxic ones and as many that only they use (both bounds hold for
+the fit only): whole words, and stems that begin longer words, chosen one after another by how well they tell toxic documents from others among those that
 no earlier term has caught.  A logistic regression on what matching finds turns hits into a score.
 
 Matching.  The terms form a trie.  For a word of a text, the Levenshtein automaton of that word (bit
@@ -12,8 +12,9 @@ by k in length and in 2k letters at most, which is tested for whole blocks at on
 code point.  A word reaches from the first to the last letter or digit between blanks, whatever its length.  Words that the
 sample's other documents use themselves, such as a name one letter away from a term, are no misspellings.
 
-Context.  A hit within quotation marks counts less (``QUOTED``) unless its window of words on either
-side addresses someone by repeating a term.
+Context.  Each hit is scored by its own window of ``WINDOW`` words on either side.  Between marks of quotation it
+counts less (``QUOTED``): words that are reported.  Unless the window holds other hits outside of any
+quotation: then the quotation is part of the abuse and excuses nothing.
 
 Defined results: null and empty texts get the score of a text without hits.  Without labels of both
 classes nothing can be learned and each score is 0.  Rows are scored one by one, so repeated rows,
@@ -22,6 +23,7 @@ ties and skewed keys make no difference.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import json
 import unicodedata
@@ -204,10 +206,20 @@ class Matcher:
 
     def hits(self, b: K.Block) -> tuple[np.ndarray, list[tuple[int, int, int, bool, bytes]]]:
         """Words per document; (document, term, edits, quoted, word) of each hit."""
+        n, out, _ = self.placed(b)
+        return n, out
+
+    def in_context(self, b: K.Block) -> tuple[np.ndarray, list[tuple[int, int, int, bool, bytes]]]:
+        """The same, quoted only where the hit's window leaves it at that."""
+        n, out, at_word = self.placed(b)
+        return n, excused(out, at_word)
+
+    def placed(self, b: K.Block) -> tuple[np.ndarray, list[tuple[int, int, int, bool, bytes]], list[int]]:
+        """The same as hits, and the number of each hit's word in the block."""
         data, s, e, doc = tokens(b)
         n = K.per_doc(doc, len(b.off) - 1)
         if not len(s) or not self.terms:
-            return n, []
+            return n, [], []
         at = K.code_points(data)
         size = at[e] - at[s]
         hasher = K.Hasher(data)
@@ -221,7 +233,7 @@ class Matcher:
             for length, mask, k in self.fuzzy:
                 near = np.flatnonzero(np.abs(size - length) <= k)
                 mine[near[np.bitwise_count(letters[near] ^ mask) <= 2 * k]] = True
-        out = []
+        out, at_word = [], []
         raw = b.data
         for j in np.flatnonzero(mine & (s < e)):
             word = data[s[j] : e[j]].tobytes()
@@ -233,7 +245,19 @@ class Matcher:
                 quoted = sum(left.count(q) for q in QUOTES) % 2 == 1 and any(q in right for q in QUOTES)
                 i, k = min(found, key=lambda x: (x[1], -len(self.terms[x[0]][0])))
                 out.append((d, i, k, quoted, word))
-        return n, out
+                at_word.append(int(j))
+        return n, out, at_word
+
+
+def excused(hits: list[tuple[int, int, int, bool, bytes]], place: list[int]) -> list[tuple[int, int, int, bool, bytes]]:
+    """Hits, quoted only if no other hit of the text within WINDOW words stands outside of quotations; place numbers their words."""
+    free = [(d, p) for (d, _, _, quoted, _), p in zip(hits, place, strict=True) if not quoted]
+    out = []
+    for (d, i, k, quoted, word), p in zip(hits, place, strict=True):
+        at = bisect.bisect_left(free, (d, p - WINDOW))
+        near = at < len(free) and free[at][0] == d and free[at][1] <= p + WINDOW
+        out.append((d, i, k, quoted and not near, word))
+    return out
 
 
 def _g2(a, n1, b, n0):
@@ -318,10 +342,7 @@ def _by_doc(model: dict, n: np.ndarray, hits) -> list[list[float]]:
         own[d].append((i, k, quoted))
     out = []
     for d in range(len(n)):
-        mine = own.get(d, [])
-        # an address repeats its terms: quotation marks around one hit among many excuse nothing
-        excused = len(mine) <= 2
-        out.append(features(int(n[d]), [(i, k, _strength(model, i, k, q and excused)) for i, k, q in mine]))
+        out.append(features(int(n[d]), [(i, k, _strength(model, i, k, q)) for i, k, q in own.get(d, [])]))
     return out
 
 
@@ -334,7 +355,7 @@ def fit(texts: pa.Array, toxic: np.ndarray) -> dict:
     seen: dict[tuple[bool, str], set[int]] = defaultdict(set)
     words, hits, base = [], [], 0
     for b in K.blocks(texts):
-        n, found = probe.hits(b)
+        n, found = probe.in_context(b)
         words.append(n)
         hits += [(d + base, *x) for d, *x in found]
         base += len(n)
@@ -390,7 +411,7 @@ def score(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
         for batch in batches:
             scores, counts, names = [], [], []
             for b in K.blocks(batch.column(batch.num_columns - 1)):
-                n, hits = matcher.hits(b)
+                n, hits = matcher.in_context(b)
                 own = defaultdict(list)
                 for d, i, k, _, _ in hits:
                     own[d].append(f"{model['terms'][i][0]}:{k}")
