@@ -98,7 +98,7 @@ def flow(capacity: list[int], member: list[list[int]], quota: list[int], repeats
                         todo.append(y)
             if not found:
                 break
-            edges = {x: iter([n + s for s in member[x]] if x < n else holders[x - n]) for x in level}
+            arc = dict.fromkeys(level, 0)  # arcs before this one lead nowhere on these levels
             for start in [p for p in level if p < n and free[p] > 0 and level[p] == 0]:
                 while free[start] > 0:
                     path = [start]
@@ -106,12 +106,17 @@ def flow(capacity: list[int], member: list[list[int]], quota: list[int], repeats
                         x = path[-1]
                         if x >= n and room[x - n] > 0:
                             break
-                        for y in edges[x]:
+                        arcs = member[x] if x < n else holders[x - n]
+                        while arc[x] < len(arcs):
+                            y = arcs[arc[x]] + (n if x < n else 0)
                             if level.get(y) == level[x] + 1 and (x < n or sent[y][x - n] > 0):
                                 path.append(y)
                                 break
+                            arc[x] += 1
                         else:
                             path.pop()
+                            if path:
+                                arc[path[-1]] += 1
                     if not path:
                         break
                     back = [sent[path[i + 1]][path[i] - n] for i in range(1, len(path) - 1, 2)]
@@ -122,7 +127,6 @@ def flow(capacity: list[int], member: list[list[int]], quota: list[int], repeats
                         sent[path[i + 1]][path[i] - n] -= amount
                     free[start] -= amount
                     room[path[-1] - n] -= amount
-                    edges = {x: iter([n + s for s in member[x]] if x < n else holders[x - n]) for x in level}
     return sent
 
 
@@ -165,7 +169,7 @@ def plan(sized: DataFrame, sources: str, **options) -> tuple[DataFrame, DataFram
     sized has doc_id, size and an array of sources; options go to targets().
     """
     spark = sized.sparkSession
-    keyed = cut(sized.select(pattern_of(F.col(sources)).alias("pattern"), F.col(sources).alias("_s"), F.col("size"), seeded(F.col("doc_id"), F.col("size")).alias("hash")))
+    keyed = cut(sized.select(pattern_of(F.col(sources)).alias("pattern"), F.array_sort(F.array_distinct(F.col(sources))).alias("_s"), F.col("size"), seeded(F.col("doc_id"), F.col("size")).alias("hash")))
     patterns = keyed.groupBy("pattern").agg(F.first("_s").alias("s"), F.sum("size").alias("size")).limit(MAX_NODES + 1).collect()
     if len(patterns) > MAX_NODES:
         raise ValueError(f"more than {MAX_NODES} membership patterns; group the sources first")
