@@ -270,16 +270,24 @@ def top_up(sample: DataFrame, frame: DataFrame, floor: int) -> DataFrame:
 
 
 def separate(order: list, twin: dict, least: int) -> list:
-    """An order in which twins stand at least so far apart: the later one moves back as far as it must, if there is room."""
-    out = list(order)
-    for item in order:
-        other = twin.get(item)
-        if other is None or other not in out:
+    """An order in which twins stand at least so far apart; an error if there is no room.
+
+    A twin that stands too near changes places with an item that has none: the first far enough behind its
+    partner, or else the last far enough before it.  Nothing else moves.
+    """
+    out, paired = list(order), set(twin) | set(twin.values())
+    place = {item: i for i, item in enumerate(out)}
+    for item, other in twin.items():
+        if item not in place or other not in place or abs(place[item] - place[other]) >= least:
             continue
-        i, j = out.index(item), out.index(other)
-        if i > j and i - j < least:
-            out.pop(i)
-            out.insert(min(len(out), j + least), item)
+        i, j = place[item], place[other]
+        room = [k for k, x in enumerate(out) if x not in paired and abs(k - j) >= least]
+        if not room:
+            raise ValueError(f"{item!r} and {other!r} can't be {least} places apart")
+        k = min((k for k in room if k > j), default=None)
+        k = max(room) if k is None else k
+        out[i], out[k] = out[k], out[i]
+        place[out[i]], place[out[k]] = i, k
     return out
 
 

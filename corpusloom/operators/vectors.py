@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import mathfn as M
+from .graph import cut
 from .windows import ranked
 
 #: Stories whose centroids one task may hold; beyond it they are split.
@@ -171,6 +172,19 @@ def cluster_pools(vectors: DataFrame, pool: str, least: float = 0.82, most: int
     return vectors.select(pool, "vec_id", "embedding").groupBy(pool).applyInPandas(run, f"{pool} {kind}, vec_id {vectors.schema['vec_id'].dataType.simpleString()}, cluster int")
 
 
+def assign_clusters(vectors: DataFrame, clustered: DataFrame, pool: str) -> DataFrame:
+    """(pool, vec_id, cluster) of all vectors: those of clustered keep their cluster, others get that of the nearest centroid in their pool.
+
+    A pool has as many centroids as a bounded sample has clusters; they are joined as one array.
+    """
+    fitted = cut(clustered)
+    members = vectors.join(fitted, [pool, "vec_id"]).select(F.struct(pool, "cluster").alias("k"), "embedding")
+    means = centroids(members, "k", "embedding").groupBy(F.col(f"k.{pool}").alias(pool)).agg(F.array_sort(F.collect_list(F.struct("k.cluster", "centroid"))).alias("means"))
+    near = lambda v: F.array_max(F.transform("means", lambda m: F.struct(M.dot(v, m["centroid"]).alias("s"), (-m["cluster"]).alias("c"))))
+    rest = vectors.join(fitted, [pool, "vec_id"], "left_anti").join(means, pool).select(pool, "vec_id", M.let(M.normalise(F.col("embedding")), near).alias("n"))
+    return fitted.select(pool, "vec_id", "cluster").unionByName(rest.select(pool, "vec_id", (-F.col("n.c")).cast("int").alias("cluster")))
+
+
 def semantic_context(index: DataFrame, stories: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Vectors of the posts that stories hold, and the stories' centroids; stories: story, ids."""
     members = stories.select("story", F.explode("ids").alias("vec_id"))

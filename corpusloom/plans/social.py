@@ -297,7 +297,7 @@ def assignment_counts(spark, d):
     return stories.assignment_counts(S.posts(spark, d))
 
 
-@query("""s AS (SELECT macro, sub, count(*) AS posts, count(DISTINCT member) AS members FROM posts WHERE sub IS NOT NULL AND k * k % 13 < 5 AND (k % 10 > 2 OR post_id % 9 = 0) GROUP BY 1, 2),
+@query("""s AS (SELECT macro, sub, count(*) AS posts, count(DISTINCT member) AS members FROM posts WHERE sub IS NOT NULL GROUP BY 1, 2),
 t AS (SELECT s.*, posts / sum(posts) OVER (PARTITION BY macro) AS share, sum(posts) OVER (PARTITION BY macro) AS total FROM s),
 u AS (SELECT t.macro, t.sub, median(o.posts) AS sibling_median, count(*) AS siblings FROM t JOIN s o ON o.macro = t.macro AND o.sub <> t.sub GROUP BY 1, 2)
 SELECT t.macro, t.sub, t.posts, t.members, floor(share * 1000 + 0.5) / 1000 AS share, coalesce(siblings, 0) AS siblings, sibling_median,
@@ -305,7 +305,7 @@ SELECT t.macro, t.sub, t.posts, t.members, floor(share * 1000 + 0.5) / 1000 AS s
 FROM t LEFT JOIN u ON u.macro = t.macro AND u.sub = t.sub""")
 def elevate_median(spark, d):
     """Subs that outgrow their macro."""
-    p = S.posts(spark, d).filter("sub is not null and k * k % 13 < 5 and (k % 10 > 2 or post_id % 9 = 0)")
+    p = S.posts(spark, d).filter("sub is not null")
     out = stories.elevate(p.groupBy("macro", "sub").agg(F.count("*").alias("posts"), F.countDistinct("member").alias("members")))
     return out.select("macro", "sub", "posts", "members", M.places(F.col("share"), 3).alias("share"), "siblings", "sibling_median", F.coalesce("elevate", F.lit(False)).alias("elevate"))
 
@@ -325,7 +325,7 @@ def retire_quiet(spark, d):
     return stories.retire(tax, p.filter("k % 4 <> 1"), days, as_of).select("macro", "sub", "entered")
 
 
-@query("""s AS (SELECT 'Story ' || (k % 37) AS story, 'm' || (k % 12) AS macro, count(*) AS posts, count(DISTINCT member) AS members, count(DISTINCT day) AS days FROM posts WHERE k % 3 <> 0 AND post_id % 7 = 0 GROUP BY 1, 2),
+@query("""s AS (SELECT 'Story ' || (k % 37) AS story, 'm' || (k % 12) AS macro, count(*) AS posts, count(DISTINCT member) AS members, count(DISTINCT day) AS days FROM posts GROUP BY 1, 2),
 n AS (SELECT story || ' ' || macro AS story, macro, posts, members, days FROM s),
 u AS (SELECT *, rtrim(regexp_replace(substring(regexp_replace(regexp_replace(lower(story), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 32), '-+$', ''), '-') AS slug FROM n),
 t AS (SELECT DISTINCT macro, 'story-' || (k % 5) || '-' || macro AS sub FROM posts),
@@ -336,7 +336,7 @@ SELECT story, macro, slug, posts, members, days, story IN (SELECT story FROM o)
 def auto_promote(spark, d):
     """Stories that become subtopics, the eight largest, and why others don't."""
     p = S.posts(spark, d)
-    own = p.filter("k % 3 <> 0 and post_id % 7 = 0").withColumn("macro", F.concat(F.lit("m"), (F.col("k") % 12).cast("string"))).withColumn("story", F.concat(F.lit("Story "), (F.col("k") % 37).cast("string"), F.lit(" "), F.col("macro")))
+    own = p.withColumn("macro", F.concat(F.lit("m"), (F.col("k") % 12).cast("string"))).withColumn("story", F.concat(F.lit("Story "), (F.col("k") % 37).cast("string"), F.lit(" "), F.col("macro")))
     scored = own.groupBy("story", "macro").agg(F.count("*").alias("posts"), F.countDistinct("member").alias("members"), F.countDistinct("day").alias("days"))
     tax = p.select("macro", F.concat(F.lit("story-"), (F.col("k") % 5).cast("string"), F.lit("-"), F.col("macro")).alias("sub")).distinct()
     return stories.promote(scored, tax)

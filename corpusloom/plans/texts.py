@@ -156,9 +156,10 @@ def quantize_roundtrip(spark, d):
 
 @query()
 def vector_clusters(spark, d):
-    """Clusters within pools of a bounded sample of vectors, 200 per label by hash."""
-    sample = evaluation.hash_sample(table(spark, d, "embeddings"), "vec_id", 200, ["label"])
-    return vectors.cluster_pools(sample, "label", 0.6)
+    """The cluster of every vector; clusters are fitted on a sample of 200 per label, by hash."""
+    every = spread(table(spark, d, "embeddings"))
+    sample = evaluation.hash_sample(every, "vec_id", 200, ["label"])
+    return vectors.assign_clusters(every, vectors.cluster_pools(sample, "label", 0.6), "label")
 
 
 @query()

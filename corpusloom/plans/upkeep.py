@@ -33,13 +33,13 @@ def refreshable_after_cursor(spark, d):
     return serving.refreshable(p, S.metrics(spark, d)).select("post_id", "type")
 
 
-@query("""d AS (SELECT k.key, p.post_id, p.engagement FROM (SELECT DISTINCT macro AS key FROM posts UNION SELECT DISTINCT macro || '/' || sub FROM posts WHERE k % 11 = 1 AND sub IS NOT NULL) k
+@query("""d AS (SELECT k.key, p.post_id, p.engagement FROM (SELECT DISTINCT macro AS key FROM posts UNION SELECT DISTINCT macro || '/' || sub FROM posts WHERE sub IS NOT NULL) k
 JOIN posts p ON p.macro = split_part(k.key, '/', 1) AND (split_part(k.key, '/', 2) = '' OR p.sub = split_part(k.key, '/', 2)))
 SELECT key, post_id, CAST(row_number() OVER (PARTITION BY key ORDER BY engagement DESC, post_id) AS INT) AS place FROM d QUALIFY place <= 10""")
 def drill_down_top(spark, d):
     """The ten strongest posts behind each row key."""
     p = S.posts(spark, d)
-    keys = p.select(F.col("macro").alias("key")).union(p.filter("k % 11 = 1 and sub is not null").select(F.concat("macro", F.lit("/"), "sub"))).distinct()
+    keys = p.select(F.col("macro").alias("key")).union(p.filter("sub is not null").select(F.concat("macro", F.lit("/"), "sub"))).distinct()
     return serving.drill_down(keys, p.select("macro", "sub", "post_id", "created", "engagement"), True).filter("place <= 10").select("key", "post_id", "place")
 
 
@@ -197,20 +197,20 @@ def arm_effect(spark, d):
     return evaluation.arm_effect(S.posts(spark, d).select((F.col("author_id") < 50).alias("arm"), F.col("sub").isNull().alias("empty"))).select("inside", "outside")
 
 
-@query("""s AS (SELECT k AS source, post_id, author_id, member, ref_id FROM posts WHERE k < 20), c AS (SELECT source, ref_id FROM s WHERE ref_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT post_id) > 1)
+@query("""s AS (SELECT k AS source, post_id, author_id, member, ref_id FROM posts), c AS (SELECT source, ref_id FROM s WHERE ref_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT post_id) > 1)
 SELECT source AS incident, count(*) AS statements, count(DISTINCT CASE WHEN member % 4 <> 0 THEN member END) AS people, count(DISTINCT author_id) AS accounts, count(DISTINCT CASE WHEN member % 4 = 0 THEN author_id END) AS unresolved,
   (SELECT count(*) FROM c WHERE c.source = s.source) AS repeated_references FROM s GROUP BY 1""")
 def corroboration_counts(spark, d):
     """Statements, people and repeated references per incident."""
-    p = S.posts(spark, d).filter("k < 20").select(F.col("k").alias("incident"), "author_id", F.when(F.col("member") % 4 != 0, F.col("member")).alias("person_id"), F.col("post_id").alias("source_id"), F.when(F.col("ref_id").isNotNull(), F.array("ref_id")).otherwise(F.array().cast("array<bigint>")).alias("reference_ids"))
+    p = S.posts(spark, d).select(F.col("k").alias("incident"), "author_id", F.when(F.col("member") % 4 != 0, F.col("member")).alias("person_id"), F.col("post_id").alias("source_id"), F.when(F.col("ref_id").isNotNull(), F.array("ref_id")).otherwise(F.array().cast("array<bigint>")).alias("reference_ids"))
     return incidents.corroboration(p).select("incident", "statements", "people", "accounts", "unresolved", "repeated_references")
 
 
 @query(f"""SELECT macro AS event, count(DISTINCT post_id) AS posts, count(DISTINCT author_id) AS accounts, count(DISTINCT member) AS people, count(DISTINCT CASE WHEN y THEN post_id END) AS posts24, count(DISTINCT CASE WHEN y THEN member END) AS people24
-FROM (SELECT *, epoch({AT}) - epoch(created) < 86400 AS y FROM posts WHERE k % 10 = 3) GROUP BY 1""")
+FROM (SELECT *, epoch({AT}) - epoch(created) < 86400 AS y FROM posts) GROUP BY 1""")
 def event_counts(spark, d):
     """Posts, accounts and people of events, in all and in a day."""
-    return state.event_counts(S.posts(spark, d).filter("k % 10 = 3").withColumnRenamed("macro", "event"), S.as_of()).select("event", "posts", "accounts", "people", "posts24", "people24")
+    return state.event_counts(S.posts(spark, d).withColumnRenamed("macro", "event"), S.as_of()).select("event", "posts", "accounts", "people", "posts24", "people24")
 
 
 @query("""r AS (SELECT k AS stage, post_id AS attempt, created AS observed, k % 3 AS severity, engagement % 5 <> 0 AS ok FROM posts)

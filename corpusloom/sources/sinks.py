@@ -37,16 +37,27 @@ def overwrite_days(df: DataFrame, path: str, day: str = "et_date") -> None:
 
 
 def swap(df: DataFrame, path: str) -> None:
-    """Write aside, then take the old version's place; readers see one or the other."""
+    """Write aside, then take the old version's place.
+
+    The old version is deleted last, and put back if the new one can't take its place.  A reader that comes
+    between the two renames finds no table and has to try again; none ever sees a part of one.
+    """
     spark = df.sparkSession
     fs, p = _fs(spark, path)
     aside = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
     df.write.parquet(aside)
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{aside}-old")
-    if fs.exists(p):
-        fs.rename(p, old)
-    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), p)
-    fs.delete(old, True)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    old, new, had = at(f"{aside}-old"), at(aside), fs.exists(p)
+    if had and not fs.rename(p, old):
+        fs.delete(new, True)
+        raise OSError(f"{path} can't be moved; it stays as it was")
+    if not fs.rename(new, p):
+        if had and not fs.rename(old, p):
+            raise OSError(f"{path} can't be replaced; the old version is in {aside}-old, the new one in {aside}")
+        fs.delete(new, True)
+        raise OSError(f"{path} can't be replaced; it stays as it was")
+    if had:
+        fs.delete(old, True)
 
 
 def upsert_metrics(new: DataFrame, path: str) -> None:
