@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """End the lineage: written to the folder in spark.checkpoint.dir and read again."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; one of our own only in local mode, where none is set."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
 
         where = f"file://{tempfile.gettempdir()}/checkpoints/{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", where)
-    path = f"{where.rstrip('/')}/graph-{uuid.uuid4().hex}"
+    return where.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """End the lineage: written to the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/graph-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.loom_path = path

@@ -95,10 +95,10 @@ def topic_windows(spark, d):
 def topic_momentum(spark, d):
     """Change against the baseline and momentum per macro, over groups by region."""
     rows, windows_ = _windows(spark, d)
-    regions = table(spark, d, "region").select(F.col("r_name").alias("region"))
+    regions = table(spark, d, "region").agg(F.collect_set("r_name")).scalar()  # a dimension's names
     young = rows.filter(T.within_hours(F.col("created"), S.as_of(), 24, future=True)).join(S.roster(spark, d).select("author_id", F.col("groups")[0].alias("region")), "author_id")
     n = young.groupBy("macro", "region").agg(F.count("*").alias("n"))
-    grid = windows_.select("macro").crossJoin(F.broadcast(regions))  # a few groups by macros
+    grid = windows_.select("macro", F.explode(regions).alias("region"))
     groups = grid.join(n, ["macro", "region"], "left").groupBy("macro").agg(F.transform(F.array_sort(F.collect_list(F.struct("region", F.coalesce("n", F.lit(0)).alias("n")))), lambda x: x["n"]).alias("groups"))
     out = rollup.topic_rows(windows_, groups)
     return out.select("macro", "d", "momentum.score", M.places(F.col("momentum.volume"), 3).alias("volume"), M.places(F.col("momentum.spread"), 3).alias("spread"))

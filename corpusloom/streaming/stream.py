@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.graph import shared_folder
 from ..sources import sinks
 
 LATE = "48 hours"
@@ -100,7 +101,17 @@ def reevaluate(rows: DataFrame, version: Column) -> DataFrame:
 
 
 def run_to_end(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drive a stream over what there is and return its rows; for small results."""
+    """Drive a stream over what there is and return its rows.
+
+    Appended rows go to files in the shared folder, so they never meet in the driver.  In complete mode,
+    which files can't follow, the memory table keeps the last state of the groups: for small results.
+    """
+    spark = df.sparkSession
+    if mode == "append":
+        path = f"{shared_folder(spark)}/stream-{name}"
+        q = df.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return spark.read.schema(df.schema).parquet(path)
     q = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.table(name)
+    return spark.table(name)
