@@ -133,9 +133,12 @@ def followed(df: DataFrame, key: str = "doc_id") -> DataFrame:
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = df.select(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] or []
     bounds = sorted(set(at), reverse=True)
-    limits = F.array(*[F.lit(x) for x in bounds]) if bounds else F.array().cast("array<bigint>")
+    # one literal, however many bounds; the number of bounds above a key is found by halving
+    limits = F.split(F.lit(",".join(map(str, bounds))), ",").cast(f"array<{df.schema[key].dataType.simpleString()}>") if bounds else F.array().cast("array<bigint>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, len(bounds).bit_length())))])
+    above = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(limits, at + step - 1) > F.col(key), at + step).otherwise(at))
     # null last: after all bounds
-    part = F.when(F.col(key).isNull(), len(bounds) + 1).otherwise(F.size(F.filter(limits, lambda x: x > F.col(key))))
+    part = F.when(F.col(key).isNull(), len(bounds) + 1).otherwise(above)
     rows = df.withColumn("part", part.cast("int")).withColumn("copy", F.lit(False))
     heads = rows.groupBy("part").agg(F.max(key).alias("head")).collect()  # one row per range
     order = sorted(r["part"] for r in heads)
