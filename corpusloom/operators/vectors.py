@@ -55,10 +55,9 @@ def nearest(vectors: DataFrame, targets: DataFrame, vector_id: str, vector: str,
             if not len(pdf) or not len(ids):
                 continue
             x = np.stack(pdf[vector].to_numpy()).astype(float)
-            sim = x @ matrix.T
+            sim = np.floor(x @ matrix.T * 1e4 + 0.5) / 1e4  # rounded before the order, so that ties go to the least id
             order = np.argsort(-sim, axis=1, kind="stable")[:, :k]
             best = np.take_along_axis(sim, order, 1)
-            best = np.floor(best * 1e4 + 0.5) / 1e4
             i, j = np.nonzero(best >= least)
             yield pd.DataFrame({vector_id: pdf[vector_id].to_numpy()[i], target_id: [ids[t] for t in order[i, j]], "sim": best[i, j]})
 
