@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import mathfn as M
 from ..functions import text as X
-from .graph import components, cut
+from . import grams
+from .graph import components, cut, drop
 
 
 def phrase_uses(posts: DataFrame, low: int = 2, high: int = 4, stop: list[str] | None = None) -> DataFrame:
@@ -44,6 +45,32 @@ def mine(uses: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> D
     return each.select(*keys, "phrase", "author_id", "key").join(out.hint("shuffle_hash"), [*keys, "phrase", "key"]).select(*keys, "phrase", "members", "posts", "first_seen", F.col("author_id").alias("first_author"))
 
 
+def _by_phrase(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows of grams.rows_of summed per phrase and author; all of a phrase in one task, a row per author and block at most."""
+    at = F.min(F.when(F.col("created").isNotNull(), F.struct("created", "post_id"))).alias("at")
+    return rows.repartition(*keys, "phrase").groupBy(*keys, "phrase", "author_id").agg(F.sum("posts").alias("posts"), at)
+
+
+def mine_posts(posts: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> DataFrame:
+    """mine() of phrase_uses(posts), slice by slice, with rows for possible phrases only."""
+
+    def finish(rows):
+        first = F.min(F.when(F.col("at").isNotNull(), F.struct("at", "author_id")))
+        out = _by_phrase(rows, keys).groupBy(*keys, "phrase").agg(F.count("*").alias("members"), F.sum("posts").alias("posts"), F.min("at.created").alias("first_seen"), first.alias("f")).filter(F.col("members") >= least)
+        return out.select(*keys, "phrase", "members", "posts", "first_seen", F.col("f.author_id").alias("first_author"))
+
+    return grams.each_slice(posts, least, keys, finish)
+
+
+def widespread_posts(posts: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> DataFrame:
+    """widespread() of phrase_uses(posts), slice by slice, with rows for possible phrases only."""
+
+    def finish(rows):
+        return rows.repartition(*keys, "phrase").groupBy(*keys, "phrase", "author_id").agg(F.sum("posts").alias("posts")).groupBy(*keys, "phrase").agg(F.count("*").alias("members"), F.sum("posts").alias("posts")).filter(F.col("members") >= least)
+
+    return grams.each_slice(posts, least, keys, finish)
+
+
 def widespread(uses: DataFrame, least: int = 3, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """A06 without the earliest use: phrases that enough distinct authors use, with members and posts."""
     each = uses.groupBy(*keys, "phrase", "author_id").agg(F.count("*").alias("posts"))
@@ -57,6 +84,24 @@ def widespread_first(uses: DataFrame, least: int = 3) -> DataFrame:
     return first.join(top.hint("shuffle_hash"), "phrase")
 
 
+def widespread_first_posts(posts: DataFrame, least: int = 3) -> DataFrame:
+    """widespread_first() of phrase_uses(posts), slice by slice, with rows for possible phrases only."""
+
+    def finish(rows):
+        first = rows.repartition("phrase").groupBy("phrase", "author_id").agg(F.min("created").alias("day"))
+        return first.withColumn("_n", F.count("*").over(Window.partitionBy("phrase"))).filter(F.col("_n") >= least).drop("_n")
+
+    return grams.each_slice(posts.withColumn("created", F.col("day")), least, (), finish)
+
+
+def uses_of(posts: DataFrame, few: DataFrame) -> DataFrame:
+    """phrase_uses(posts) of a few phrases (the top of a ranking), written: post_id, author_id, phrase."""
+    tokens, _ = grams.store(posts)
+    out = cut(grams.uses_of(tokens, [r[0] for r in few.select("phrase").collect()]).select("post_id", "author_id", "phrase"))
+    drop(tokens)
+    return out
+
+
 def prune_contained(phrases: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """Drop a phrase that a strictly longer one with as many members contains.
 

@@ -53,10 +53,13 @@ def tokenize_docs(spark, d):
     return t.select("doc_id", F.size("tokens").alias("n"), F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
-def _uses(spark, d):
+def _posts(spark, d):
     docs = spread(table(spark, d, "documents"))
-    posts = docs.select(F.col("doc_id").alias("post_id"), F.col("source").alias("author_id"), F.col("doc_id").alias("created"), F.col("lang").alias("day"), F.lit("tweet").alias("type"), "text")
-    return phrases.phrase_uses(posts)
+    return docs.select(F.col("doc_id").alias("post_id"), F.col("source").alias("author_id"), F.col("doc_id").alias("created"), F.col("lang").alias("day"), F.lit("tweet").alias("type"), "text")
+
+
+def _uses(spark, d):
+    return phrases.phrase_uses(_posts(spark, d))
 
 
 _MINED = f"{TOKENS}, {GRAMS}, mined AS (SELECT lang AS day, phrase, count(DISTINCT source) AS members, count(DISTINCT doc_id) AS posts, min(doc_id) AS first_seen, arg_min(source, doc_id) AS first_author FROM gram GROUP BY 1, 2 HAVING count(DISTINCT source) >= 3)"
@@ -65,7 +68,7 @@ _MINED = f"{TOKENS}, {GRAMS}, mined AS (SELECT lang AS day, phrase, count(DISTIN
 @query(f"WITH {_MINED} SELECT * FROM mined")
 def phrase_mining(spark, d):
     """Phrases of three or more sources per language."""
-    return phrases.mine(_uses(spark, d))
+    return phrases.mine_posts(_posts(spark, d))
 
 
 @query(f"""WITH {_MINED}, top AS (SELECT * FROM mined WHERE members >= 12) SELECT a.day, a.phrase, a.members, a.posts FROM top a
