@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,20 +66,30 @@ def manifest(lines: DataFrame) -> DataFrame:
 
 
 def pack(sizes: DataFrame, group: str, order: str, weight: str, most_rows: int = 40, most_weight: int = 120_000) -> DataFrame:
-    """Chunks in order, a new one when rows or weight would exceed their bounds; one fold per group.
+    """Chunks in order, a new one when rows or weight would exceed their bounds.
 
-    The fold is an aggregate over the group's ordered array, so no Python is run; groups are days.
+    A group's rows run through one task in order, of which only the present chunk's rows and weight are kept,
+    so time is linear in the rows and memory doesn't grow with them; groups are days.
     """
-    rows = sizes.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(weight).cast("bigint").alias("w")))).alias("x"))
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("w"), F.array().cast("array<int>").alias("out"))
-
-    def step(a, r):
-        fresh = (a["n"] >= most_rows) | ((a["n"] > 0) & (a["w"] + r["w"] > most_weight))
-        chunk = F.when(fresh, a["chunk"] + 1).otherwise(a["chunk"])
-        return F.struct(chunk.alias("chunk"), F.when(fresh, 1).otherwise(a["n"] + 1).alias("n"), F.when(fresh, r["w"]).otherwise(a["w"] + r["w"]).alias("w"), F.concat(a["out"], F.array(chunk)).alias("out"))
-
-    packed = rows.select(group, "x", F.aggregate("x", start, step, lambda a: a["out"]).alias("chunks"))
-    return packed.select(group, F.explode(F.arrays_zip("x", "chunks")).alias("z")).select(group, F.col("z.x.o").alias(order), F.col("z.x.w").alias(weight), F.col("z.chunks").alias("chunk"))
+    rows = sizes.select(group, order, F.col(weight).cast("bigint").alias(weight)).repartition(group).sortWithinPartitions(group, order, weight)
+    kinds = dict(rows.dtypes)
+
+    def run(batches):
+        chunk, n, total, present, begun = 0, 0, 0, None, False
+        for batch in batches:
+            out = []
+            for g, w in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if not begun or g != present:
+                    chunk, n, total, present, begun = 0, 0, 0, g, True
+                over = total is not None and w is not None and total + w > most_weight
+                if n >= most_rows or (n > 0 and over):
+                    chunk, n, total = chunk + 1, 1, w
+                else:
+                    n, total = n + 1, None if total is None or w is None else total + w
+                out.append(chunk)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], names=[*batch.schema.names, "chunk"])
+
+    return rows.mapInArrow(run, f"`{group}` {kinds[group]}, `{order}` {kinds[order]}, `{weight}` bigint, chunk int")
 
 
 def blocked(lines: DataFrame, most: int = 120_000) -> DataFrame:

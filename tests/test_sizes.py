@@ -1,6 +1,10 @@
 """What showed on larger tables only."""
 
-from corpusloom.operators import vectors
+import time
+
+from pyspark.sql import functions as F
+
+from corpusloom.operators import state, vectors
 
 
 def test_equal_similarities_go_to_the_least_story(spark):
@@ -9,3 +13,16 @@ def test_equal_similarities_go_to_the_least_story(spark):
     t = spark.createDataFrame([("a", [0.6, 0.8, 0.0]), ("b", [0.60001, 0.79999, 0.0]), ("c", [0.60002, 0.79998, 0.0])], "story string, centroid array<double>")
     out = vectors.nearest(v, t, "vec_id", "embedding", "story", "centroid", 2, 0.2).orderBy("rank").collect()
     assert [(r.story, r.sim) for r in out] == [("a", 0.6), ("b", 0.6)]
+
+
+def test_long_days_are_packed_in_linear_time(spark):
+    d = spark.range(400_000).select(F.lit("d").alias("day"), F.col("id").alias("o"), (600 + F.col("id") * 7919 % 4000).alias("w"))
+    began = time.time()
+    out = state.pack(d, "day", "o", "w").orderBy("o").select("w", "chunk").toPandas()
+    assert time.time() - began < 60
+    chunk, n, total, want = 0, 0, 0, []
+    for w in out["w"]:
+        fresh = n >= 40 or (n > 0 and total + w > 120_000)
+        chunk, n, total = (chunk + 1, 1, int(w)) if fresh else (chunk, n + 1, total + int(w))
+        want.append(chunk)
+    assert len(want) == 400_000 and list(out["chunk"]) == want
