@@ -6,21 +6,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .graph import components
+from .graph import components, cut
 from .windows import ranked
 
 
+def similar_pairs(labels: DataFrame) -> DataFrame:
+    """Edges (a, b) that join all similar labels: those of the same words to the least of them, and all similar pairs of these.
+
+    Words are put in order of rarity.  Similar sets of x <= y words share (x + y) / 3 of them, or all x where y <= x + 2;
+    so the first word in common is among the rarest x / 3 + 1 of one and y / 2 + 1 (or 3) of the other, and enough
+    words are left from there on.  Only pairs that meet in such a word are compared, common words make none.
+    """
+    sets = labels.select("label", F.array_sort(X.label_tokens(F.col("label"))).alias("set")).filter(F.size("set") > 0)
+    heads = cut(sets.groupBy("set").agg(F.min("label").alias("head")))
+    same = sets.join(heads, "set").filter("label <> head").select(F.col("head").alias("a"), F.col("label").alias("b"))
+    flat = heads.select("head", F.explode("set").alias("w"))
+    rare = flat.join(flat.groupBy("w").agg(F.count("*").alias("n")), "w").groupBy("head").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("s"))
+    rare = cut(rare.select("head", F.size("s").alias("k"), F.col("s.w").alias("s")))
+    places = lambda s: rare.select(F.col("head").alias(f"{s}_head"), F.col("k").alias(f"{s}_k"), F.col("s").alias(f"{s}_s"), F.posexplode("s").alias(f"{s}_i", "w"))
+    x = places("x").filter("x_i < x_k - ceil(2 * x_k / 3) + 1")
+    y = places("y").filter("y_i < y_k - least(ceil(y_k / 2), greatest(1, y_k - 2)) + 1")
+    left = F.least(F.col("x_k") - F.col("x_i"), F.col("y_k") - F.col("y_i"))
+    near = F.col("y_k") - F.col("x_k") <= 2
+    enough = (3 * left >= F.col("x_k") + F.col("y_k")) | ((left == F.col("x_k")) & near)
+    once = (F.col("x_k") < F.col("y_k")) | ((F.col("x_k") == F.col("y_k")) & (F.col("x_head") < F.col("y_head")))
+    met = x.join(y, "w").filter(once & enough).withColumn("both", F.size(F.array_intersect("x_s", "y_s")))
+    alike = (3 * F.col("both") >= F.col("x_k") + F.col("y_k")) | ((F.col("both") == F.col("x_k")) & near)
+    return met.filter(alike).select(F.col("x_head").alias("a"), F.col("y_head").alias("b")).union(same)
+
+
 def label_clusters(labels: DataFrame) -> DataFrame:
     """Groups of labels that are similar, across days: (cluster, label, n, ids, days).
 
-    labels: label, day, ids.  Pairs are made through shared words.  A group is named by its label with the
-    most ids, of equals the least.
+    labels: label, day, ids.  A group is named by its label with the most ids, of equals the least.
     """
     flat = labels.groupBy("label").agg(F.array_distinct(F.flatten(F.collect_list("ids"))).alias("ids"), F.collect_set("day").alias("days"))
-    words = flat.select("label", F.explode(X.label_tokens(F.col("label"))).alias("w"))
-    a, b = words.alias("a"), words.alias("b")
-    pairs = a.join(b, (F.col("a.w") == F.col("b.w")) & (F.col("a.label") < F.col("b.label"))).select(F.col("a.label").alias("a"), F.col("b.label").alias("b")).distinct()
-    roots = components(pairs.filter(X.similar_labels(F.col("a"), F.col("b"))))
+    roots = components(cut(similar_pairs(flat.select("label"))))
     own = flat.join(roots.withColumnRenamed("node", "label"), "label", "left").withColumn("root", F.coalesce("root", "label"))
     return own.groupBy("root").agg(
         F.min_by("label", F.struct(-F.size("ids"), "label")).alias("label"), F.sort_array(F.collect_set("label")).alias("labels"),

@@ -1,10 +1,12 @@
 """What showed on larger tables only."""
 
+import random
 import time
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import state, vectors
+from corpusloom.functions import text as X
+from corpusloom.operators import state, stories, vectors
 
 
 def test_equal_similarities_go_to_the_least_story(spark):
@@ -26,3 +28,27 @@ def test_long_days_are_packed_in_linear_time(spark):
         chunk, n, total = (chunk + 1, 1, int(w)) if fresh else (chunk, n + 1, total + int(w))
         want.append(chunk)
     assert len(want) == 400_000 and list(out["chunk"]) == want
+
+
+def pairs_by_all(spark, labels):
+    d = labels.select(F.col("label").alias("a")).crossJoin(labels.select(F.col("label").alias("b"))).filter("a < b")
+    return d.filter(X.similar_labels(F.col("a"), F.col("b")))
+
+
+def test_pairs_of_rare_words_join_what_all_pairs_join(spark):
+    rng = random.Random(5)
+    words = [f"w{i}x" for i in range(30)]
+    labels = sorted({" ".join(rng.choice(words[: rng.choice([3, 8, 30])]) for _ in range(rng.randrange(1, 11))) for _ in range(300)} | {"The of", "", "W1x w0x"})
+    df = spark.createDataFrame([(x,) for x in labels], "label string")
+    from corpusloom.operators.graph import components
+
+    got, want = components(stories.similar_pairs(df)), components(pairs_by_all(spark, df))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_common_word_makes_no_pairs(spark):
+    df = spark.range(3000).select(F.concat(F.lit("de la "), *[F.concat(F.lit(f" u{j}q"), F.col("id").cast("string")) for j in range(6)]).alias("label"))
+    pairs = stories.similar_pairs(df)
+    assert pairs.count() == 0
+    plan = pairs._jdf.queryExecution()
+    assert "CartesianProduct" not in plan.toString() and "NestedLoop" not in plan.toString()
