@@ -99,9 +99,9 @@ def adoption_curve(spark, d):
 @query()
 def phrase_families(spark, d):
     """The 30 most widespread phrases in families, with the main variant of each."""
-    uses = cut(_uses(spark, d))
-    top = phrases.widespread(uses, 3, ()).orderBy(F.desc("members"), F.desc("posts"), "phrase").limit(30).select("phrase")
-    return phrases.family_rows(uses, phrases.families(top))
+    posts = _posts(spark, d)
+    top = phrases.widespread_posts(posts, 3, ()).orderBy(F.desc("members"), F.desc("posts"), "phrase").limit(30).select("phrase")
+    return phrases.family_rows(phrases.uses_of(posts, top), phrases.families(top))
 
 
 @query("""WITH v AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i, vec_id FROM embeddings), n AS (SELECT vec_id, sqrt(sum(x * x)) AS n FROM v GROUP BY 1),
