@@ -91,8 +91,8 @@ g AS (SELECT phrase, bucket FROM (SELECT DISTINCT phrase FROM b), (SELECT CAST(u
 SELECT g.phrase, g.bucket, CAST(sum(n) OVER (PARTITION BY g.phrase ORDER BY g.bucket) AS BIGINT) AS people FROM (SELECT g.phrase, g.bucket, count(b.source) AS n FROM g LEFT JOIN b ON b.phrase = g.phrase AND b.bucket = g.bucket GROUP BY 1, 2) g""")
 def adoption_curve(spark, d):
     """Sources that have used a phrase by each of seven days."""
-    uses = _uses(spark, d).withColumn("day", F.col("created"))
-    first = phrases.widespread_first(uses, 10).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("day") % 10).cast("int")))
+    posts = _posts(spark, d).withColumn("day", F.col("created"))
+    first = phrases.widespread_first_posts(posts, 10).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("day") % 10).cast("int")))
     return phrases.adoption(first, F.lit("2024-01-08").cast("date"))
 
 
