@@ -81,8 +81,7 @@ def containment_prune(spark, d):
 @query(f"WITH {TOKENS}, {GRAMS}, top AS (SELECT phrase FROM gram GROUP BY 1 HAVING count(DISTINCT source) >= 10) SELECT phrase, source AS author_id, min(doc_id) AS day FROM gram WHERE phrase IN (SELECT phrase FROM top) GROUP BY 1, 2")
 def phrase_first_use(spark, d):
     """The first document of each source for each widespread phrase."""
-    uses = _uses(spark, d).withColumn("day", F.col("created"))
-    return phrases.widespread_first(uses, 10)
+    return phrases.widespread_first_posts(_posts(spark, d).withColumn("day", F.col("created")), 10)
 
 
 @query(f"""WITH {TOKENS}, {GRAMS}, top AS (SELECT phrase FROM gram GROUP BY 1 HAVING count(DISTINCT source) >= 10), f AS (SELECT phrase, source, min(doc_id) AS first FROM gram WHERE phrase IN (SELECT phrase FROM top) GROUP BY 1, 2),
