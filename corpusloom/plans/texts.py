@@ -58,10 +58,6 @@ def _posts(spark, d):
     return docs.select(F.col("doc_id").alias("post_id"), F.col("source").alias("author_id"), F.col("doc_id").alias("created"), F.col("lang").alias("day"), F.lit("tweet").alias("type"), "text")
 
 
-def _uses(spark, d):
-    return phrases.phrase_uses(_posts(spark, d))
-
-
 _MINED = f"{TOKENS}, {GRAMS}, mined AS (SELECT lang AS day, phrase, count(DISTINCT source) AS members, count(DISTINCT doc_id) AS posts, min(doc_id) AS first_seen, arg_min(source, doc_id) AS first_author FROM gram GROUP BY 1, 2 HAVING count(DISTINCT source) >= 3)"
 
 
@@ -75,7 +71,7 @@ def phrase_mining(spark, d):
 WHERE NOT EXISTS (SELECT 1 FROM top b WHERE b.day = a.day AND length(b.phrase) > length(a.phrase) AND contains(b.phrase, a.phrase) AND b.members >= a.members)""")
 def containment_prune(spark, d):
     """Phrases that no longer one with as many sources contains."""
-    return phrases.prune_contained(cut(phrases.widespread(_uses(spark, d), 12))).select("day", "phrase", "members", "posts")
+    return phrases.prune_contained(phrases.widespread_posts(_posts(spark, d), 12)).select("day", "phrase", "members", "posts")
 
 
 @query(f"WITH {TOKENS}, {GRAMS}, top AS (SELECT phrase FROM gram GROUP BY 1 HAVING count(DISTINCT source) >= 10) SELECT phrase, source AS author_id, min(doc_id) AS day FROM gram WHERE phrase IN (SELECT phrase FROM top) GROUP BY 1, 2")
