@@ -17,16 +17,28 @@ def _replace(c: Column, *rules: tuple[str, str]) -> Column:
     return c
 
 
-def tokenize(text: Column) -> Column:
-    """Words for phrase mining: links, mentions and punctuation go, hashtags keep their word, contractions are spelled out."""
-    c = _replace(
-        F.lower(F.coalesce(text, F.lit(""))),
-        (r"https?://\S+", " "), (rf"@{_WORD}+", " "), ("#", ""), ("[‘’`]", "'"),
+def spelled_out(text: Column) -> Column:
+    """Text of which the runs of a-z, 0-9 and hyphens are the words of tokenize().
+
+    A rule runs over texts only that hold the sign it needs: its pattern takes far longer than the look for the sign.
+    """
+    ruled = lambda c, holds, *rules: _let(c, lambda x: F.when(holds(x), _replace(x, *rules)).otherwise(x))
+    c = F.lower(F.coalesce(text, F.lit("")))
+    c = ruled(c, lambda x: x.contains("://"), (r"https?://\S+", " "))
+    c = ruled(c, lambda x: x.contains("@"), (rf"@{_WORD}+", " "))
+    for mark, plain in (("#", ""), ("‘", "'"), ("’", "'"), ("`", "'")):
+        c = F.replace(c, F.lit(mark), F.lit(plain))
+    c = ruled(
+        c, lambda x: x.contains("'"),
         (rf"(?<!{_WORD})won't(?!{_WORD})", "will not"), (rf"(?<!{_WORD})can't(?!{_WORD})", "can not"), (rf"(?<!{_WORD})shan't(?!{_WORD})", "shall not"),
         (rf"n't(?!{_WORD})", " not"), (rf"'(s|ll|re|ve|d|m)(?!{_WORD})", ""), ("'", ""),
-        (rf"(?<!{_WORD})([a-z])\.([a-z])\.?", "$1$2"), (r"[^a-z0-9\s-]", " "),
     )
-    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    return ruled(c, lambda x: x.rlike(r"\.[a-z]"), (rf"(?<!{_WORD})([a-z])\.([a-z])\.?", "$1$2"))
+
+
+def tokenize(text: Column) -> Column:
+    """Words for phrase mining: links, mentions and punctuation go, hashtags keep their word, contractions are spelled out."""
+    return F.filter(F.split(spelled_out(text), "[^a-z0-9-]+"), lambda w: w != "")
 
 
 def ngrams(tokens: Column, low: int = 2, high: int = 4, stop: list[str] | None = None) -> Column:

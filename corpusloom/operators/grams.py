@@ -20,14 +20,19 @@ from ..functions import fixed
 from ..functions import text as X
 from .graph import cut, drop
 
-#: Phrase uses of one slice: the disk for its hashes and rows.  Slices grow in number with the input.
+#: Phrase uses of one slice: the disk for its hashes and rows.
 SLICE_USES = 150_000_000
+#: Slices at most.  All tokens are read for each, so beyond that slices grow with the input and not in number.
+MOST_SLICES = 4
 #: Words that one block of a worker holds, a document at least.
 BLOCK_WORDS = 500_000
-#: Bits of the filter (8 MB), and of the hash by which its parts are dealt out.
+#: Bytes of texts that are taken apart at once, a document at least.
+BLOCK_BYTES = 4_000_000
+#: Bits of the filter (8 MB), and of the hash by which its parts are dealt out (more for larger slices).
 BITS, PARTS = 26, 6
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+_INSIDE = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789-", np.uint8))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -36,6 +41,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def distinct(a: np.ndarray) -> np.ndarray:
+    """The values of a in order, each once.  Sorted: np.unique hashes them, which takes 50 times as long."""
+    a = np.sort(a)
+    return a[np.concatenate([[True], a[1:] != a[:-1]])[: len(a)]]
+
+
 def word_hashes(words: pa.StringArray) -> np.ndarray:
     """A polynomial of each word's bytes, mixed."""
     words = words.cast(pa.large_binary())
@@ -50,6 +61,38 @@ def word_hashes(words: pa.StringArray) -> np.ndarray:
     return mix(sums[at[1:]] - sums[at[:-1]] + size.astype(np.uint64) * _MIX)
 
 
+def squeeze(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of texts that X.spelled_out made, one space between two of them; and their numbers."""
+    texts = pc.binary_join_element_wise(texts.cast(pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))  # each ends outside of a token
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0] : at[-1]]
+    at = at - at[0]
+    inside = _INSIDE[data]
+    ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
+    upto = np.searchsorted(ends, at)
+    n = np.diff(upto)
+    kept = inside.copy()
+    kept[ends] = True
+    kept[ends[upto[1:][n > 0] - 1]] = False
+    size = np.add.reduceat(kept, at[:-1], dtype=np.int64)
+    out = np.where(inside, data, np.uint8(32))[kept]
+    return pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(np.concatenate([[0], np.cumsum(size)]).astype(np.int64)), pa.py_buffer(out)).cast(pa.string()), n
+
+
+def _tokens(batches):
+    """Rows whose text becomes tokens, and size their number."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column("tokens")).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = (np.cumsum(sizes) - sizes) // BLOCK_BYTES
+        ends = [*(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+        for start, end in zip([0, *ends], ends):
+            if end > start:
+                part = batch.slice(start, end - start)
+                tokens, n = squeeze(part.column("tokens"))
+                new = {"tokens": tokens, "size": pa.array(n, pa.int32())}
+                yield pa.RecordBatch.from_arrays([new.get(c, part.column(c)) for c in part.schema.names], names=part.schema.names)
+
+
 class Block:
     """Some posts' tokens as numbers."""
 
@@ -104,8 +147,8 @@ def store(posts: DataFrame, keys: tuple[str, ...] = ()) -> tuple[DataFrame, int]
     every = posts.filter("type <> 'retweet'")
     # people are few beside texts, so one task numbers them
     authors = cut(every.select(F.col("author_id").alias("_a")).distinct().select("_a", (F.row_number().over(Window.orderBy("_a")) - 1).cast("bigint").alias("code")))
-    own = every.select("post_id", "author_id", "created", *keys, X.tokenize(F.col("text")).alias("t"))  # a filter on t would compute it twice
-    own = own.select("post_id", "author_id", "created", *keys, F.array_join("t", " ").alias("tokens"), F.size("t").alias("size"), F.xxhash64(F.lit(0), *keys).alias("key"))
+    own = every.select("post_id", "author_id", "created", *keys, X.spelled_out(F.col("text")).alias("tokens"), F.lit(0).alias("size"), F.xxhash64(F.lit(0), *keys).alias("key"))
+    own = own.mapInArrow(_tokens, ", ".join(f"`{c}` {kind}" for c, kind in own.dtypes))
     spark = every.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     own = own.join(authors, F.col("author_id").eqNullSafe(F.col("_a"))).drop("_a")
@@ -114,8 +157,11 @@ def store(posts: DataFrame, keys: tuple[str, ...] = ()) -> tuple[DataFrame, int]
     return cut(own.repartition(parts, *keys, "author_id", salt).sortWithinPartitions(*keys, "author_id")), authors.count()
 
 
-def slices(tokens: DataFrame, lengths: int = 3) -> int:
-    return max(1, -(-(tokens.agg(F.sum("size")).first()[0] or 0) * lengths // SLICE_USES))
+def slices(tokens: DataFrame, lengths: int = 3) -> tuple[int, int]:
+    """Number of slices, and the bits by which the filter of each is dealt out, so that its parts don't grow."""
+    n = max(1, -(-(tokens.agg(F.sum("size")).first()[0] or 0) * lengths // SLICE_USES))
+    parts = min(n, MOST_SLICES)
+    return parts, min(PARTS + (-(-n // parts) - 1).bit_length(), BITS - 8)
 
 
 def _inside(h: np.ndarray, part: int, parts: int) -> np.ndarray:
@@ -127,7 +173,7 @@ def _found(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
-def candidates(tokens: DataFrame, authors: int, least: int, part: int = 0, parts: int = 1, low: int = 2, high: int = 4, stop: list[str] | None = None) -> np.ndarray:
+def candidates(tokens: DataFrame, authors: int, least: int, part: int = 0, parts: int = 1, low: int = 2, high: int = 4, stop: list[str] | None = None, dealt: int = PARTS) -> np.ndarray:
     """A bit for each hash of a slice that enough authors use, as bytes."""
     words = list(stop if stop is not None else fixed.PHRASE_STOP)
     b = np.uint64(max(1, (max(authors, 1) - 1).bit_length()))
@@ -136,9 +182,9 @@ def candidates(tokens: DataFrame, authors: int, least: int, part: int = 0, parts
         held, n = [], 0
 
         def out():
-            keys = np.unique(np.concatenate(held))
-            cuts = np.searchsorted(keys >> np.uint64(64 - PARTS), np.arange(2**PARTS + 1))
-            at = [p for p in range(2**PARTS) if cuts[p] < cuts[p + 1]]
+            keys = distinct(np.concatenate(held))
+            cuts = np.searchsorted(keys >> np.uint64(64 - dealt), np.arange(2**dealt + 1))
+            at = [p for p in range(2**dealt) if cuts[p] < cuts[p + 1]]
             for p in at:
                 yield pa.RecordBatch.from_pydict({"p": pa.array([p], pa.int32()), "keys": pa.array([keys[cuts[p] : cuts[p + 1]].tobytes()], pa.binary())})
 
@@ -147,7 +193,7 @@ def candidates(tokens: DataFrame, authors: int, least: int, part: int = 0, parts
             for _, at, h in block.grams():
                 h = mix(h + key[block.doc[at]] * _ODD)
                 mine = _inside(h, part, parts)
-                held.append(np.unique(((h[mine] >> b) << b) | code[block.doc[at[mine]]]))
+                held.append(distinct(((h[mine] >> b) << b) | code[block.doc[at[mine]]]))
                 n += len(held[-1])
             if n > 6_000_000:
                 yield from out()
@@ -162,15 +208,15 @@ def candidates(tokens: DataFrame, authors: int, least: int, part: int = 0, parts
                 found.setdefault(p, []).append(np.frombuffer(keys.as_buffer(), np.uint64))
         while found:
             p, own = found.popitem()
-            own = np.unique(np.concatenate(own)) >> b
+            own = distinct(np.concatenate(own)) >> b
             first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
             enough = own[first[np.diff(np.append(first, len(own))) >= least]] << b
-            bits = np.zeros(1 << (BITS - PARTS), np.uint8)
-            bits[(enough >> np.uint64(64 - BITS)) & np.uint64((1 << (BITS - PARTS)) - 1)] = 1
+            bits = np.zeros(1 << (BITS - dealt), np.uint8)
+            bits[(enough >> np.uint64(64 - BITS)) & np.uint64((1 << (BITS - dealt)) - 1)] = 1
             yield pa.RecordBatch.from_pydict({"p": pa.array([p], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    rows = tokens.select("tokens", "size", "key", "code").mapInArrow(send, "p int, keys binary").repartition(2**PARTS, "p").mapInArrow(meet, "p int, bits binary").collect()
-    out = np.zeros((2**PARTS, 1 << (BITS - PARTS - 3)), np.uint8)
+    rows = tokens.select("tokens", "size", "key", "code").mapInArrow(send, "p int, keys binary").repartition(2**dealt, "p").mapInArrow(meet, "p int, bits binary").collect()
+    out = np.zeros((2**dealt, 1 << (BITS - dealt - 3)), np.uint8)
     for r in rows:
         out[r.p] |= np.frombuffer(r.bits, np.uint8)
     return out.reshape(-1)
@@ -236,7 +282,7 @@ def _rows(tokens, bits, part, parts, low, high, stop, by_author: bool) -> DataFr
                 fresh = new | np.concatenate([[True], doc[order][1:] != doc[order][:-1]])
                 posts = np.add.reduceat(fresh.astype(np.int64), first)
                 one = order[first]
-                took = docs.take(pa.array(doc[one]))
+                took = docs.select(extra).take(pa.array(doc[one]))  # without the tokens, which would be copied for each row
                 yield pa.RecordBatch.from_arrays([*[took.column(c) for c in extra], block.text(at[one], n), pa.array(posts)], names=[*extra, "phrase", "posts"])
 
     kinds = dict(tokens.dtypes)
@@ -246,9 +292,9 @@ def _rows(tokens, bits, part, parts, low, high, stop, by_author: bool) -> DataFr
 def each_slice(posts: DataFrame, least: int, keys: tuple[str, ...], finish) -> DataFrame:
     """finish(rows of possible phrases) of each slice, written; all of them together."""
     tokens, authors = store(posts, keys)
-    parts, out = slices(tokens), None
+    (parts, dealt), out = slices(tokens), None
     for part in range(parts):
-        done = cut(finish(rows_of(tokens, candidates(tokens, authors, least, part, parts), part, parts)))
+        done = cut(finish(rows_of(tokens, candidates(tokens, authors, least, part, parts, dealt=dealt), part, parts)))
         out = done if out is None else out.unionByName(done)
         release(posts.sparkSession)
     drop(tokens)

@@ -1,10 +1,12 @@
 """Phrases slice by slice are those of all uses listed."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import text as X
 from corpusloom.operators import grams, phrases
 
 
@@ -41,3 +43,46 @@ def test_only_shared_phrases_become_rows(spark):
     got = grams.rows_of(tokens, grams.candidates(tokens, authors, 3)).groupBy("phrase").agg(F.sum("posts").alias("n")).collect()
     want = phrases.widespread(phrases.phrase_uses(df), 3).collect()
     assert {r.phrase: r.n for r in got} == {r.phrase: r.posts for r in want} and want
+
+
+def test_slices_are_few_and_their_parts_small(spark):
+    tokens = lambda n: spark.range(1).select(F.lit(n).cast("bigint").alias("size"))
+    assert grams.slices(tokens(1000)) == (1, grams.PARTS)
+    for words in (10**8, 10**9, 2 * 10**9, 10**10):
+        parts, dealt = grams.slices(tokens(words))
+        assert parts <= grams.MOST_SLICES and 3 * words / parts / 2**dealt <= grams.SLICE_USES / 2**grams.PARTS
+
+
+def test_parts_dealt_finer_are_the_same(spark, posts):
+    tokens, authors = grams.store(posts, ("day",))
+    assert (grams.candidates(tokens, authors, 3) == grams.candidates(tokens, authors, 3, dealt=10)).all()
+
+
+def test_rows_of_long_posts_are_made_without_their_text(spark):
+    # 40,000 rows that each carried a copy of the post's 270,000 characters
+    text = " ".join(f"w{i}x" for i in range(40_000))
+    df = spark.createDataFrame([(i, f"a{i}", i, "en", "tweet", text) for i in range(2)], "post_id bigint, author_id string, created bigint, day string, type string, text string")
+    began = time.time()
+    assert phrases.widespread_posts(df, 2).count() == 3 * 40_000 - 6
+    assert time.time() - began < 60
+
+
+def test_stored_tokens_are_those_of_tokenize(spark):
+    rng = random.Random(9)
+    bits = [*"abzAZ09_-#@.'‘’`&é ßKİ  \t\n\x0b\x1f😀", "won't", "CAN'T", "shan’t", "n't", "'s", "'ll", "u.s.", "e.g", "http://", "https://x.y/a'b", " ", "  "]
+    texts = [None, "", " ", "-", "one"] + ["".join(rng.choices(bits, k=rng.randrange(1, 25))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, "a", i, "tweet", t) for i, t in enumerate(texts)], "post_id bigint, author_id string, created bigint, type string, text string")
+    tokens, _ = grams.store(df)
+    got = {r.post_id: (r.tokens, r.size) for r in tokens.collect()}
+    # the rules one after another, over every text
+    word = "[a-z0-9_]"
+    c = F.lower(F.coalesce("text", F.lit("")))
+    for pattern, new in (
+        (r"https?://\S+", " "), (rf"@{word}+", " "), ("#", ""), ("[‘’`]", "'"), (rf"(?<!{word})won't(?!{word})", "will not"), (rf"(?<!{word})can't(?!{word})", "can not"), (rf"(?<!{word})shan't(?!{word})", "shall not"),
+        (rf"n't(?!{word})", " not"), (rf"'(s|ll|re|ve|d|m)(?!{word})", ""), ("'", ""), (rf"(?<!{word})([a-z])\.([a-z])\.?", "$1$2"), (r"[^a-z0-9\s-]", " "),
+    ):
+        c = F.regexp_replace(c, pattern, new)
+    rules = F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    want = {r.post_id: r.t for r in df.select("post_id", rules.alias("t")).collect()}
+    assert {r.post_id: r.t for r in df.select("post_id", X.tokenize(F.col("text")).alias("t")).collect()} == want
+    assert got == {k: (" ".join(t), len(t)) for k, t in want.items()}
