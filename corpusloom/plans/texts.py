@@ -268,7 +268,7 @@ def asof_evidence(spark, d):
 @query()
 def label_cluster_merge(spark, d):
     """Page titles of similar words as one label."""
-    titles = readers.extract_articles(spread(table(spark, d, "pages"))).filter("title <> ''").select(F.substring("title", 1, 60).alias("label"), (F.col("page_id") % 5).alias("day"), F.array("page_id").alias("ids"))
+    titles = readers.extract_articles(spread(table(spark, d, "pages"))).filter("title <> ''").select(F.col("title").alias("label"), (F.col("page_id") % 5).alias("day"), F.array("page_id").alias("ids"))
     out = stories.label_clusters(cut(titles))
     return out.select("label", F.size("labels").alias("n_labels"), F.size("ids").alias("n_ids"), F.size("days").alias("n_days"))
 

@@ -52,3 +52,15 @@ def test_a_common_word_makes_no_pairs(spark):
     assert pairs.count() == 0
     plan = pairs._jdf.queryExecution()
     assert "CartesianProduct" not in plan.toString() and "NestedLoop" not in plan.toString()
+
+
+def test_titles_are_compared_whole(spark, tmp_path):
+    from corpusloom.plans import texts
+
+    # of the first 60 characters both made one label
+    start = "harbour council budget vote delayed again after protest march"
+    titles = [f"{start} {end}" for end in ("by alpha brewery strikers near riverside quarter yesterday morning", "while mountain glaciers retreat faster than forecast models")]
+    rows = [(i, f"http://u/{i}", f"<html><head><title>{t}</title></head><body><p>x</p></body></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    out = texts.label_cluster_merge(spark, str(tmp_path)).collect()
+    assert sorted((r.label, r.n_labels, r.n_ids) for r in out) == [(t, 1, 1) for t in titles]
