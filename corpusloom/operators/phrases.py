@@ -105,20 +105,29 @@ def uses_of(posts: DataFrame, few: DataFrame) -> DataFrame:
 def prune_contained(phrases: DataFrame, keys: tuple[str, ...] = ("day",)) -> DataFrame:
     """Drop a phrase that a strictly longer one with as many members contains.
 
-    Containment is of characters: the first two tokens of what is contained are then the end of one token
-    and the beginning of the next one of what contains it.  Up to three characters on either side of a space
-    are the key of an equi-join, of which a phrase of four tokens has 27 at most; no pairs are listed.
+    Containment is of characters: the first token of what is contained is then the end of a token of what contains
+    it, the last one the beginning of a later token, and those between are the same.  So each run of tokens is listed
+    with such ends that some phrase begins or stops with, and meets the phrase by equality; of all that contain a
+    phrase the one with the most members decides, and no pairs are listed.
     """
     t = F.split("phrase", " ")
-    side = F.array(F.lit(1), F.lit(2), F.lit(3))
-    last, first = lambda w, k: F.right(w, k), lambda w, k: F.left(w, k)
-    own = F.concat(F.right(F.get(t, F.lit(0)), F.least(F.lit(3), F.length(F.get(t, F.lit(0))))), F.lit(" "), F.left(F.get(t, F.lit(1)), F.least(F.lit(3), F.length(F.get(t, F.lit(1))))))
-    at = F.sequence(F.lit(0), F.size(t) - 2)
-    around = F.flatten(F.transform(at, lambda i: F.flatten(F.transform(side, lambda k: F.transform(side, lambda m: F.concat(last(F.get(t, i), k), F.lit(" "), first(F.get(t, i + 1), m)))))))
-    long = phrases.filter(F.size(t) >= 2).select(*keys, F.col("phrase").alias("_long"), F.col("members").alias("_m"), F.explode(F.array_distinct(around)).alias("_key"))
-    short = phrases.filter(F.size(t) >= 2).withColumn("_key", own)
-    held = short.join(long, [*keys, "_key"]).filter((F.length("_long") > F.length("phrase")) & (F.col("_m") >= F.col("members")) & F.col("_long").contains(F.col("phrase")))
-    return phrases.join(held.select(*keys, "phrase").distinct(), [*keys, "phrase"], "left_anti")
+    every = phrases.filter(F.size(t) >= 2)
+    words = every.select(F.explode(t).alias("w")).distinct()
+
+    def ends(of: Column, affix, word: str, name: str) -> DataFrame:
+        """For each word the affixes that phrases have at that end."""
+        each = words.select("w", F.explode(F.transform(F.sequence(F.lit(0), F.length("w")), lambda k: affix("w", k))).alias("_x"))
+        return each.join(every.select(of.alias("_x")).distinct(), "_x").groupBy(F.col("w").alias(word)).agg(F.collect_set("_x").alias(name))
+
+    begin = ends(F.get(t, F.lit(0)), F.right, "_i", "_begin")
+    stop = ends(F.element_at(t, -1), F.left, "_j", "_stop")
+    run = lambda i, j: F.struct(F.get(t, i).alias("_i"), F.slice(t, i + 2, j - i - 1).alias("_mid"), F.get(t, j).alias("_j"))
+    runs = F.flatten(F.transform(F.sequence(F.lit(0), F.size(t) - 2), lambda i: F.transform(F.sequence(i + 1, F.size(t) - 1), lambda j: run(i, j))))
+    long = every.select(*keys, F.length("phrase").alias("_n"), F.col("members").alias("_m"), F.inline(runs)).join(begin, "_i").join(stop, "_j")
+    part = long.withColumn("_x", F.explode("_begin")).withColumn("_y", F.explode("_stop")).select(*keys, "_n", "_m", F.array_join(F.concat(F.array("_x"), "_mid", F.array("_y")), " ").alias("phrase"))
+    most = part.filter(F.length("phrase") < F.col("_n")).groupBy(*keys, "phrase").agg(F.max("_m").alias("_m"))
+    held = phrases.join(most, [*keys, "phrase"]).filter(F.col("_m") >= F.col("members")).select(*keys, "phrase")
+    return phrases.join(held, [*keys, "phrase"], "left_anti")
 
 
 def member_first(uses: DataFrame, ledger: DataFrame | None = None) -> DataFrame:

@@ -86,3 +86,23 @@ def test_stored_tokens_are_those_of_tokenize(spark):
     want = {r.post_id: r.t for r in df.select("post_id", rules.alias("t")).collect()}
     assert {r.post_id: r.t for r in df.select("post_id", X.tokenize(F.col("text")).alias("t")).collect()} == want
     assert got == {k: (" ".join(t), len(t)) for k, t in want.items()}
+
+
+def test_pruning_lists_no_pairs(spark):
+    # 60,000 phrases begin with "go to" and 60,000 others hold it: as pairs 3,600,000,000 rows of one key
+    begins = spark.range(60_000).select(F.concat(F.lit("go to p"), F.col("id").cast("string"), F.lit("x")).alias("phrase"), F.lit(5).alias("members"))
+    holds = spark.range(60_000).select(F.concat(F.lit("ago to q"), F.col("id").cast("string"), F.lit("x y")).alias("phrase"), F.lit(5).alias("members"))
+    began = time.time()
+    assert phrases.prune_contained(begins.union(holds).withColumn("day", F.lit(1))).count() == 120_000
+    assert time.time() - began < 60
+
+
+def test_pruning_is_that_of_all_pairs(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("ab", k=rng.randrange(1, 4)))
+    rows = sorted({(rng.choice([1, 2, None]), " ".join(word() for _ in range(rng.randrange(1, 5))), rng.randrange(3, 6)) for _ in range(600)}, key=repr)
+    rows = list({(d, p): (d, p, m) for d, p, m in rows}.values())
+    df = spark.createDataFrame(rows, "day int, phrase string, members int")
+    tokens = lambda p: len(p.split(" "))
+    gone = {(d, p) for d, p, m in rows if d and tokens(p) > 1 for e, q, n in rows if e == d and tokens(q) > 1 and len(q) > len(p) and p in q and n >= m}
+    assert gone and sorted(map(repr, (tuple(r) for r in phrases.prune_contained(df).collect()))) == sorted(repr(r) for r in rows if r[:2] not in gone)
